@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +14,8 @@ from qaloom import fixed_values as fv
 from qaloom.functions.checks import Rules, quality_flags
 from qaloom.functions.text import build_prompt, clean_technical, is_qa, retry_prompt
 from qaloom.operators.curate import accept, fan_out
+from qaloom.operators.selection import SMALL, nth_key, up_to
+from qaloom.session import materialise
 
 Generator = Callable[[str], str]
 ERROR_TEXT = "Error occurred while calling the model: {error}"
@@ -83,3 +86,52 @@ def generate_with_retry(
         .withColumn("error", F.when(retried, F.col("second_error")).otherwise(F.col("first_error")))
         .drop("_retry", "first", "first_error", "second", "second_error")
     )
+
+
+def candidates_of(
+    pages: DataFrame,
+    max_examples: int,
+    pages_per_run: str | None = None,
+    template: str = fv.GENERATION_PROMPT,
+) -> DataFrame:
+    """Pages times attempts, each with its prompt."""
+    return fan_out(pages, max_examples, pages_per_run).withColumn(
+        "prompt", build_prompt("text", template)
+    )
+
+
+def generate_until(
+    candidates: DataFrame,
+    generator: Generator | Callable[[Column], Column],
+    max_examples: int,
+    order: list[str],
+    rules: Rules | None = None,
+    native: bool = False,
+    partitions: int | None = None,
+    factor: float = 1.5,
+    rounds: int = 4,
+    small: int = SMALL,
+) -> DataFrame:
+    """Accepted samples, without calling the generator far beyond the cap.
+
+    Candidates are taken in generation order, in rounds sized by what is still
+    missing; the last round takes all that is left. The result is the same as
+    generating everything and accepting the first ``max_examples``.
+    """
+    made = key = None
+    missing = max_examples
+    for turn in range(rounds):
+        rest = candidates if key is None else candidates.where(~up_to(order, key))
+        key = None
+        if turn < rounds - 1:
+            key = nth_key(rest, order, math.ceil(missing * factor), small)
+        batch = rest if key is None else rest.where(up_to(order, key))
+        answered = generate_with_retry(batch, generator, rules, "prompt", native, partitions)
+        # a generator may answer differently when asked again
+        kept = materialise(answered.where(is_qa("response")))
+        made = kept if made is None else made.unionByName(kept)
+        accepted = accept(made, max_examples, order, small=small)
+        missing = max_examples - accepted.count()
+        if missing <= 0 or key is None:
+            break
+    return accepted

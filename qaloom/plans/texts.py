@@ -200,7 +200,7 @@ def _(spark, sf):
 _SQL_WS_IN = WS[1:-1]
 
 
-def _sql_technical(e: str) -> str:
+def sql_technical(e: str) -> str:
     for pattern, new in fv.TECHNICAL_REWRITES:
         p = pattern.replace("{ws}", WS).replace("{chars}", _SQL_WS_IN)
         r = new.replace("$", "\\")
@@ -215,7 +215,7 @@ _TOOLS_IN_TEXT = " -Xmx512m -Xms4k jstack  <pid> jmap  -dump:live,file=a.b "
 @query(
     "clean_technical",
     f"""WITH {SQL_MIXED} SELECT kind, id, part,
-    {_sql_technical(f"({q(_TOOLS_IN_TEXT)} || text)")} AS cleaned FROM mixed""",
+    {sql_technical(f"({q(_TOOLS_IN_TEXT)} || text)")} AS cleaned FROM mixed""",
 )
 def _(spark, sf):
     return R.mixed(spark, sf).select(
@@ -284,7 +284,7 @@ def _(spark, sf):
     )
 
 
-_SQL_GATE = sql_flags(
+SQL_GATE = sql_flags(
     _case(f"length({sql_answer('text')}) < 100", fv.GATE_FLAGS[0]),
     _case(sql_any("text", R.GATE.experts), fv.GATE_FLAGS[1]),
     _case(sql_any("text", R.GATE.tools), fv.GATE_FLAGS[2]),
@@ -294,7 +294,7 @@ _SQL_GATE = sql_flags(
 
 @query(
     "retry_prompt",
-    f"""WITH {SQL_PAIRS}, f AS (SELECT conv_id, turn, question, {_SQL_GATE} AS flags FROM pairs)
+    f"""WITH {SQL_PAIRS}, f AS (SELECT conv_id, turn, question, {SQL_GATE} AS flags FROM pairs)
     SELECT conv_id, turn, question || {q(fv.RETRY_PREFIX)} || array_to_string(flags, ', ')
       || {q(fv.RETRY_SUFFIX)} AS retry FROM f WHERE len(flags) > 0""",
 )
