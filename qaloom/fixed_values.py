@@ -19,7 +19,8 @@ SPACE_CHARS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_CLASS = "[" + SPACE_CHARS + "]"
+SPACE_CLASS = r"(?U:[\s\x1c-\x1f])"
+NO_SPACE_OR_COMMA = r"(?U:[^,\s\x1c-\x1f])"
 
 # --- fixed values: generation prompts ---------------------------------------
 SYSTEM_PROMPT = "You are a helpful assistant specialized in creating educational Q&A content."
@@ -64,13 +65,13 @@ FALLBACK_SAMPLE = (
 )
 
 # --- fixed values: cleaner rewrites, in order -------------------------------
-# (pattern, replacement); {ws} is the whitespace class, {chars} its members
+# (pattern, replacement); {ws} is whitespace, {name} neither whitespace nor a comma
 TECHNICAL_REWRITES = (
     (r"-XX:\+Use{ws}+java/heap-gc=", "-XX:+UseG1GC"),
     (r"-Xmx(\p{Nd}+)([^g|m])", "-Xmx$1g"),
     (r"-Xms(\p{Nd}+)([^g|m])", "-Xms$1m"),
     (r"jstack{ws}+<pid>", "jstack <pid>"),
-    (r"jmap{ws}+-dump[^,]*,file=([^,{chars}]+)", "jmap -dump:format=b,file=$1.hprof"),
+    (r"jmap{ws}+-dump[^,]*,file=({name}+)", "jmap -dump:format=b,file=$1.hprof"),
     (r"{ws}+", " "),
     (r"([.!?]){ws}*([a-z])", "$1 $2"),
 )

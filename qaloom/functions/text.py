@@ -111,9 +111,8 @@ def clean_technical(col: Column | str, fix_sizes: bool = False) -> Column:
             flag, unit = pattern[:4], new[-1]
             c = F.regexp_replace(c, rf"{flag}(\p{{Nd}}+)(?![\p{{Nd}}kKmMgGtT])", f"{flag}$1{unit}")
             continue
-        c = F.regexp_replace(
-            c, pattern.replace("{ws}", fv.SPACE_CLASS).replace("{chars}", fv.SPACE_CHARS), new
-        )
+        pattern = pattern.replace("{ws}", fv.SPACE_CLASS).replace("{name}", fv.NO_SPACE_OR_COMMA)
+        c = F.regexp_replace(c, pattern, new)
     return strip(c)
 
 

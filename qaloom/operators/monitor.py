@@ -28,34 +28,31 @@ def _ok(loss: Column) -> Column:
     return ~not_finite(loss) & (loss != 0)
 
 
-def _with_history(events: DataFrame, run: str, span: int) -> DataFrame:
+def _in_block(run: str) -> Window:
+    return Window.partitionBy(run, "_block").orderBy("step")
+
+
+def _with_history(events: DataFrame, run: str) -> DataFrame:
     """Adds the event's number in its run and the last good loss before it."""
-    in_block = Window.partitionBy(run, "_block").orderBy("step")
-    before_row = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    before_row = _in_block(run).rowsBetween(Window.unboundedPreceding, -1)
     before_block = (
         Window.partitionBy(run).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    good = F.when(_ok(F.col("loss")), F.col("loss"))
+    good_step = F.when(_ok(F.col("loss")), F.col("step"))
     blocks = (
         events.groupBy(run, "_block")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.max_by("loss", F.when(_ok(F.col("loss")), F.col("step"))).alias("_last"),
-            F.max(F.when(_ok(F.col("loss")), 1)).alias("_any"),
-        )
+        .agg(F.count(F.lit(1)).alias("_n"), F.max_by("loss", good_step).alias("_last"))
         .select(
             run,
             "_block",
             F.coalesce(F.sum("_n").over(before_block), F.lit(0)).alias("_n_before"),
-            F.last(F.when(F.col("_any") == 1, F.col("_last")), ignorenulls=True)
-            .over(before_block)
-            .alias("_last_before"),
+            F.last("_last", ignorenulls=True).over(before_block).alias("_last_before"),
         )
     )
+    good = F.when(_ok(F.col("loss")), F.col("loss"))
     return (
-        events.withColumn("_n_here", F.row_number().over(in_block))
+        events.withColumn("_n_here", F.row_number().over(_in_block(run)))
         .withColumn("_last_here", F.last(good, ignorenulls=True).over(before_row))
-        .withColumn("_good_here", F.count(good).over(before_row))
         .join(blocks, [run, "_block"])
         .withColumn("n_seen", F.col("_n_before") + F.col("_n_here"))
         .withColumn("last_loss", F.coalesce("_last_here", "_last_before"))
@@ -63,53 +60,6 @@ def _with_history(events: DataFrame, run: str, span: int) -> DataFrame:
     )
 
 
-def _with_counter(events: DataFrame, run: str, span: int) -> DataFrame:
-    """Adds ``bad_count``: bad signs since the last good loss, this event included."""
-    in_block = Window.partitionBy(run, "_block", "_good_here").orderBy("step")
-    here = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    by_block = Window.partitionBy(run).orderBy("_block")
-    signs = F.col("_loss_sign") + F.col("_grad_sign")
-    # signs after the block's last good event; all signs if it has none
-    tails = (
-        events.groupBy(run, "_block", "_good_here")
-        .agg(
-            F.sum(F.when(~_ok(F.col("loss")), signs).otherwise(0)).alias("_tail"),
-            F.max(_ok(F.col("loss")).cast("int")).alias("_closed"),
-        )
-        .groupBy(run, "_block")
-        .agg(
-            F.max("_good_here").alias("_stretch"),
-            F.max_by("_tail", "_good_here").alias("_tail"),
-            F.max_by("_closed", "_good_here").alias("_closed"),
-        )
-        # a stretch ends with its good event, which leaves nothing behind
-        .withColumn("_tail", F.when(F.col("_closed") == 1, 0).otherwise(F.col("_tail")))
-        .withColumn(
-            "_has_good", ((F.col("_stretch") > 0) | (F.col("_closed") == 1)).cast("int")
-        )
-        .withColumn(
-            "_era", F.sum("_has_good").over(by_block.rowsBetween(Window.unboundedPreceding, 0))
-        )
-    )
-    in_era = (
-        Window.partitionBy(run, "_era").orderBy("_block")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    carried = (
-        tails.withColumn("_sum", F.sum("_tail").over(in_era))
-        .select(run, "_block", F.lag("_sum", 1, 0).over(by_block).alias("_carry"))
-    )
-    return (
-        events.withColumn("_count_here", F.sum(signs).over(here))
-        .join(carried, [run, "_block"])
-        .withColumn(
-            "bad_count",
-            F.col("_count_here") + F.when(F.col("_good_here") == 0, F.col("_carry")).otherwise(0),
-        )
-        .drop("_count_here", "_carry")
-    )
-
-
 def health(
     events: DataFrame, patience: int = PATIENCE, run: str = "run_id", span: int = SPAN
 ) -> DataFrame:
@@ -120,12 +70,9 @@ def health(
     longer sees, else ``stop_nan``, ``stop_zero``, ``stop_explode``,
     ``stop_grad``, a ``warn_...`` or ``ok``.
     """
-    loss, grad = F.col("loss"), F.col("grad_norm")
-    seen = (
-        events.select(run, "step", "loss", "grad_norm")
-        .where(loss.isNotNull())
-        .withColumn("_block", block_of("step", span))
-    )
+    loss, grad, step = F.col("loss"), F.col("grad_norm"), F.col("step")
+    so_far = _in_block(run).rowsBetween(Window.unboundedPreceding, 0)
+    before_row = _in_block(run).rowsBetween(Window.unboundedPreceding, -1)
     bad = not_finite(loss)
     collapsed = (loss == 0) & (F.col("n_seen") > HISTORY_BEFORE_ZERO_STOP)
     # a NaN loss compares as larger than any number, so `bad` is tested first
@@ -133,59 +80,76 @@ def health(
         loss > F.col("last_loss") * EXPLOSION_FACTOR, F.lit(False)
     )
     bad_grad = F.coalesce(not_finite(grad), F.lit(False))
+    loss_sign = F.when(bad, "nan").when(collapsed, "zero").when(exploded, "explode")
+    signs = (bad | exploded).cast("bigint") + bad_grad.cast("bigint")
+
+    seen = (
+        events.select(run, "step", "loss", "grad_norm")
+        .where(loss.isNotNull())
+        .withColumn("_block", block_of("step", span))
+    )
+    # _here counts the bad signs since the last good event of the block; where the
+    # block has had none (_open), those carried in from earlier blocks come on top
     marked = (
-        _with_history(seen, run, span)
-        .withColumn("_loss_sign", (bad | exploded).cast("int"))
-        .withColumn("_grad_sign", bad_grad.cast("int"))
-        .withColumn("_sign", F.when(bad, "nan").when(collapsed, "zero").when(exploded, "explode"))
+        _with_history(seen, run)
+        .withColumn("_sign", loss_sign)
+        .withColumn("_sum", F.sum(signs).over(so_far))
+        .withColumn(
+            "_sum_good", F.last(F.when(_ok(loss), F.col("_sum")), ignorenulls=True).over(before_row)
+        )
+        .withColumn("_open", F.col("_sum_good").isNull())
+        .withColumn("_here", F.col("_sum") - F.coalesce("_sum_good", F.lit(0)))
     )
-    counted = _with_counter(marked, run, span)
-    at_loss = F.col("bad_count") - F.col("_grad_sign")
-    stop = (
-        F.when((F.col("_sign") == "nan") & (at_loss >= patience), "stop_nan")
-        .when(F.col("_sign") == "zero", "stop_zero")
-        .when((F.col("_sign") == "explode") & (at_loss >= patience), "stop_explode")
-        .when(bad_grad & (F.col("bad_count") >= patience), "stop_grad")
+
+    def stop_at(count: Column) -> Column:
+        at_loss = count - bad_grad.cast("bigint")
+        many = F.col("_sign").isin("nan", "explode") & (at_loss >= patience)
+        return F.when(many | (F.col("_sign") == "zero"), F.concat(F.lit("stop_"), "_sign")).when(
+            bad_grad & (count >= patience), "stop_grad"
+        )
+
+    def counted(carry: Column) -> Column:
+        return F.col("_here") + F.when(F.col("_open"), carry).otherwise(0)
+
+    # a run that goes on enters a block with fewer than `patience` signs, so the
+    # block's first stop is looked up for each of these counts
+    by_block = Window.partitionBy(run).orderBy("_block")
+    stop_if = [
+        F.min(F.when(stop_at(counted(F.lit(c))).isNotNull(), step)) for c in range(patience)
+    ]
+    good_step = F.when(_ok(loss), step)
+    blocks = (
+        marked.groupBy(run, "_block")
+        .agg(
+            F.max(_ok(loss).cast("int")).alias("_good"),
+            (F.max("_sum") - F.coalesce(F.max_by("_sum", good_step), F.lit(0))).alias("_tail"),
+            F.array(*stop_if).alias("_stop_if"),
+        )
+        .withColumn("_era", F.sum("_good").over(by_block))
+        .withColumn("_left", F.sum("_tail").over(Window.partitionBy(run, "_era").orderBy("_block")))
+        .withColumn("_carry", F.lag("_left", 1, 0).over(by_block))
+        .withColumn("_stop", F.get("_stop_if", F.least("_carry", F.lit(patience - 1)).cast("int")))
+        .select(
+            run, "_block", "_carry",
+            F.min("_stop").over(Window.partitionBy(run)).alias("_stop_step"),
+        )
     )
+    count = counted(F.col("_carry"))
+    over = F.coalesce(step > F.col("_stop_step"), F.lit(False))
     warning = (
-        F.when(bad, "warn_nan")
-        .when(exploded, "warn_explode")
+        F.when(F.col("_sign").isNotNull(), F.concat(F.lit("warn_"), "_sign"))
         .when(bad_grad, "warn_grad_nan")
         .when(F.coalesce(grad > GRADIENT_WARNING, F.lit(False)), "warn_grad_high")
     )
-    judged = counted.withColumn("_stop", stop)
-    in_block = Window.partitionBy(run, "_block").orderBy("step")
-    stopped_before = F.max(F.col("_stop").isNotNull()).over(
-        in_block.rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before_block = (
-        Window.partitionBy(run).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    stops = (
-        judged.groupBy(run, "_block")
-        .agg(F.max(F.col("_stop").isNotNull()).alias("_stops"))
-        .select(
-            run,
-            "_block",
-            F.coalesce(F.max("_stops").over(before_block), F.lit(False)).alias("_stopped"),
-        )
-    )
-    over = F.col("_stopped") | F.coalesce(F.col("_over_here"), F.lit(False))
-    return (
-        judged.withColumn("_over_here", stopped_before)
-        .join(stops, [run, "_block"])
-        .select(
-            run,
-            "step",
-            "loss",
-            "grad_norm",
-            F.when(~over, F.when(_ok(loss), 0).otherwise(F.col("bad_count")))
-            .cast("bigint")
-            .alias("bad_count"),
-            F.when(over, "after_stop")
-            .otherwise(F.coalesce(F.col("_stop"), warning, F.lit("ok")))
-            .alias("status"),
-        )
+    return marked.join(blocks, [run, "_block"]).select(
+        run,
+        "step",
+        "loss",
+        "grad_norm",
+        F.when(~over, F.when(_ok(loss), 0).otherwise(count)).cast("bigint").alias("bad_count"),
+        F.when(over, "after_stop")
+        .otherwise(F.coalesce(stop_at(count), warning, F.lit("ok")))
+        .alias("status"),
     )
 
 

@@ -28,6 +28,14 @@ def up_to(order: Sequence[str], key: Sequence[int]) -> Column:
     return test
 
 
+def _last_of(rows: DataFrame, order: Sequence[str], n: int) -> tuple[int, ...] | None:
+    """Key of the n-th row when n is small: every task passes on at most n keys."""
+    head = rows.select(*order).orderBy(*order).limit(n)
+    last = F.max(F.struct(*order))
+    key, found = head.agg(last, F.count(F.lit(1))).first()
+    return tuple(key) if found == n and n else None
+
+
 def nth_key(
     df: DataFrame, order: Sequence[str], n: int, small: int = SMALL, cells: int = CELLS
 ) -> tuple[int, ...] | None:
@@ -39,6 +47,8 @@ def nth_key(
     """
     order = list(order)
     rows = df.select(*order)
+    if n <= small:
+        return _last_of(rows, order, n)
     found: list[int] = []
     left = n
     for i, name in enumerate(order):
@@ -65,11 +75,7 @@ def nth_key(
             hi = min(hi, lo + width - 1)
             rows = rows.where(F.col(name).between(lo, hi))
             if hit["n"] <= small:
-                rest = order[i:]
-                last = (
-                    rows.orderBy(*rest).limit(left).orderBy(*[F.desc(c) for c in rest]).first()
-                )
-                return (*found, *(last[c] for c in rest))
+                return (*found, *_last_of(rows, order[i:], left))
         rows = rows.where(F.col(name) == lo)
         found.append(lo)
     return tuple(found)

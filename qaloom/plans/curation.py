@@ -27,7 +27,7 @@ from qaloom.sources.pages import page_scan, page_summary
     {big('n_pages')} AS n_pages, text FROM page""",
 )
 def _(spark, sf):
-    return page_scan(table(spark, sf, "documents")).select(
+    return page_scan(R.documents(spark, sf)).select(
         "doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("page_no", "page_ix", "n_pages")],
         "text",
     )
@@ -42,7 +42,7 @@ def _(spark, sf):
     FROM pages_all GROUP BY doc_id""",
 )
 def _(spark, sf):
-    return page_summary(table(spark, sf, "documents"))
+    return page_summary(R.documents(spark, sf))
 
 
 @query(
@@ -52,7 +52,7 @@ def _(spark, sf):
     FROM documents""",
 )
 def _(spark, sf):
-    return curate.text_features(table(spark, sf, "documents")).select(
+    return curate.text_features(R.documents(spark, sf)).select(
         "doc_id", "length", "word_count"
     )
 
@@ -69,7 +69,7 @@ MAX_EXAMPLES = 30_000
     FROM page""",
 )
 def _(spark, sf):
-    pages = page_scan(table(spark, sf, "documents"))
+    pages = page_scan(R.documents(spark, sf))
     return curate.fan_out(pages, MAX_EXAMPLES).select(
         "doc_id", F.col("page_ix").cast("bigint").alias("page_ix"), "attempt"
     )
@@ -81,7 +81,7 @@ def _(spark, sf):
       unnest(range(1, greatest(1, 50 // n_pages) + 1)) AS attempt FROM page""",
 )
 def _(spark, sf):
-    pages = page_scan(table(spark, sf, "documents"))
+    pages = page_scan(R.documents(spark, sf))
     return curate.fan_out(pages, 50, "n_pages").select(
         "doc_id", F.col("page_ix").cast("bigint").alias("page_ix"), "attempt"
     )
@@ -105,7 +105,7 @@ CANDIDATE_ORDER = ["doc_id", "page_ix", "attempt"]
 
 
 def candidates(spark, sf):
-    pages = curate.fan_out(page_scan(table(spark, sf, "documents")), 50, "n_pages")
+    pages = curate.fan_out(page_scan(R.documents(spark, sf)), 50, "n_pages")
     made = F.when(F.col("text").contains("."), curate.extractive_pair("text")).otherwise(
         F.col("text")
     )
@@ -323,6 +323,6 @@ def _(spark, sf):
     SELECT doc_id, length(text) AS length FROM first, q WHERE length(text) BETWEEN lo AND hi""",
 )
 def _(spark, sf):
-    docs = curate.text_features(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = curate.text_features(R.documents(spark, sf))
     first = curate.dedup_first(docs.select("doc_id", "length", "text"), "text", ["doc_id"])
     return curate.trim_quantiles(first).select("doc_id", "length")

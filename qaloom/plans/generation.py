@@ -42,7 +42,7 @@ def sql_extract(e: str) -> str:
       CASE WHEN NOT contains(text, '.') THEN 'no sentence' END AS error FROM page""",
 )
 def _(spark, sf):
-    pages = page_scan(table(spark, sf, "documents")).select(
+    pages = page_scan(R.documents(spark, sf)).select(
         "doc_id", F.col("page_ix").cast("bigint").alias("page_ix"), F.col("text").alias("prompt")
     )
     return generate.generate(pages, extract).select(
@@ -65,7 +65,7 @@ answered AS (
 
 
 def _pages_as_prompts(spark, sf):
-    return page_scan(table(spark, sf, "documents")).select(
+    return page_scan(R.documents(spark, sf)).select(
         "doc_id", F.col("page_ix").cast("bigint").alias("page_ix"), F.col("text").alias("prompt")
     )
 
@@ -119,7 +119,7 @@ samples AS (
 
 def _built(spark, sf):
     return jobs.build_dataset(
-        table(spark, sf, "documents"), extract_column, _N, R.GATE, native=True, template="{text}"
+        R.documents(spark, sf), extract_column, _N, R.GATE, native=True, template="{text}"
     )
 
 
@@ -181,7 +181,7 @@ def _(spark, sf):
     f"""WITH {SQL_HEALTH}, rolled AS (SELECT run_id, step, avg(loss) OVER (PARTITION BY run_id
         ORDER BY step ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS m FROM metrics)
     SELECT h.run_id, h.step, bad_count, status,
-      CASE WHEN NOT starts_with(status, 'stop_') AND status <> 'after_stop' AND h.step % 10 = 0
+      CASE WHEN NOT starts_with(status, 'stop_') AND status <> 'after_stop' AND h.step > 0 AND h.step % 10 = 0
             AND NOT isnan(h.loss) AND NOT isinf(h.loss) AND h.loss <> 0 AND NOT isnan(m)
            THEN {sql_round('m')} END AS avg_loss
     FROM health h JOIN rolled USING (run_id, step)""",

@@ -53,9 +53,14 @@ SQL_VERDICT = f"""WITH {SQL_HEALTH} SELECT run_id,
 FROM health GROUP BY run_id"""
 
 
-@query("number_rows", f"WITH {SQL_METRICS} SELECT run_id, step, isnan(loss) AS is_nan FROM metrics")
+@query(
+    "number_rows",
+    """SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS nth
+    FROM events""",
+)
 def _(spark, sf):
-    return R.metrics(spark, sf).select("run_id", "step", F.isnan("loss").alias("is_nan"))
+    events = table(spark, sf, "events").select("user_id", "event_id")
+    return number_rows(events, ["user_id"], "event_id", "nth")
 
 
 @query("health", f"WITH {SQL_HEALTH} SELECT run_id, step, bad_count, status FROM health")
@@ -73,7 +78,7 @@ def _(spark, sf):
     f"""WITH {SQL_METRICS}, m AS (SELECT *, avg(loss) OVER (PARTITION BY run_id ORDER BY step
         ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS avg_loss FROM metrics)
     SELECT run_id, step, CASE WHEN isnan(avg_loss) THEN NULL ELSE {sql_round('avg_loss')} END AS avg_loss
-    FROM m WHERE {_OK} AND step % 10 = 0""",
+    FROM m WHERE {_OK} AND step > 0 AND step % 10 = 0""",
 )
 def _(spark, sf):
     rolled = monitor.rolling_loss(R.metrics(spark, sf))

@@ -9,13 +9,19 @@ from qaloom import fixed_values as fv
 from qaloom.functions.checks import PROFILES
 from qaloom.functions.text import evaluation_prompt, qa_text
 from qaloom.operators.curate import compose_qa
-from qaloom.operators.ordered import number_rows
+from qaloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The documents, dealt out over all cores when they are few."""
+    df = table(spark, sf_dir, "documents").select("doc_id", *(columns or ("text",)))
+    return spread(df, "doc_id")
+
+
 # --- SQL helpers ---------------------------------------------------------------
 
 WS = (
@@ -95,7 +101,7 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("turn").alias("part"),
         "text",
     )
-    docs = table(spark, sf_dir, "documents").select(
+    docs = documents(spark, sf_dir).select(
         F.lit("document").alias("kind"),
         F.col("doc_id").alias("id"),
         F.lit(0).cast("bigint").alias("part"),
@@ -210,7 +216,7 @@ page AS (
   FROM pages_all WHERE {sql_strip('text')} <> '')"""
 
 
-# --- metric events: run = user, step = position by time -------------------------------
+# --- metric events: run = user, step = event id, which grows with time -------------------------------
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,18 +231,16 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     grad = F.when(kind == "click", F.lit(None).cast("double")).when(
         (kind == "error") | ((kind == "view") & (value < 10)), F.lit(float("inf"))
     ).otherwise(value)
-    events = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"),
-        "event_id",
+        F.col("event_id").alias("step"),
         loss.alias("loss"),
         grad.alias("grad_norm"),
     )
-    return number_rows(events, ["run_id"], "event_id", "step").drop("event_id")
 
 
 SQL_METRICS = """metrics AS (
-  SELECT user_id AS run_id,
-         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS step,
+  SELECT user_id AS run_id, event_id AS step,
          CASE WHEN event_type = 'error' AND value > 20 THEN 'nan'::DOUBLE
               WHEN event_type = 'signup' AND value < 5 THEN 0.0
               WHEN event_type = 'purchase' AND value > 40 THEN value * 1000

@@ -30,7 +30,7 @@ def _(spark, sf):
     {sql_strip('text')} <> '' AS ok FROM pages_all""",
 )
 def _(spark, sf):
-    lines = table(spark, sf, "documents").select(
+    lines = R.documents(spark, sf).select(
         "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "text")
     )
     return lines.select(
@@ -143,7 +143,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     found = (
-        table(spark, sf, "documents")
+        R.documents(spark, sf)
         .select("doc_id", F.explode(F.split("text", " ", -1)).alias("word"))
         .where(C.credential_shape("word", "th"))
     )
@@ -197,12 +197,9 @@ def _(spark, sf):
     )
 
 
-_SQL_WS_IN = WS[1:-1]
-
-
 def sql_technical(e: str) -> str:
     for pattern, new in fv.TECHNICAL_REWRITES:
-        p = pattern.replace("{ws}", WS).replace("{chars}", _SQL_WS_IN)
+        p = pattern.replace("{ws}", WS).replace("{name}", f"[^,{WS[1:-1]}]")
         r = new.replace("$", "\\")
         e = f"regexp_replace({e}, {q(p)}, {q(r)}, 'g')"
     return sql_strip(e)
@@ -276,7 +273,7 @@ _PROMPT_HEAD, _, _PROMPT_TAIL = fv.GENERATION_PROMPT.partition("{text}")
       '{H} ' || text || chr(10) || '{A}' AS evaluation_prompt FROM page""",
 )
 def _(spark, sf):
-    return page_scan(table(spark, sf, "documents")).select(
+    return page_scan(R.documents(spark, sf)).select(
         "doc_id",
         F.col("page_ix").cast("bigint").alias("page_ix"),
         F.md5(X.build_prompt("text")).alias("prompt_md5"),
@@ -317,7 +314,7 @@ SQL_TRAINING = f"""trained AS (
 
 def training_texts(spark, sf):
     text = F.when(F.length("text") >= 20, F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", X.training_text(text).alias("text"))
+    return R.documents(spark, sf).select("doc_id", X.training_text(text).alias("text"))
 
 
 @query("training_text", f"WITH {SQL_TRAINING} SELECT doc_id, text FROM trained")
