@@ -50,8 +50,14 @@ def compose_qa(conversations: DataFrame, span: int = SPAN) -> DataFrame:
     )
 
 
-def _firsts(df: DataFrame, key: Column | str, order: Sequence[str], by: Sequence[str] = ()):
-    whole = F.struct(*[F.col(c) for c in df.columns])
+def _firsts(
+    df: DataFrame,
+    key: Column | str,
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    whole = F.struct(*[F.col(c) for c in keep or df.columns])
     return (
         df.groupBy(*by, text_digest(key).alias("_digest"))
         .agg(F.min_by(whole, F.struct(*[F.col(c) for c in order])).alias("_row"))
@@ -60,14 +66,19 @@ def _firsts(df: DataFrame, key: Column | str, order: Sequence[str], by: Sequence
 
 
 def dedup_first(
-    df: DataFrame, key: Column | str, order: Sequence[str], by: Sequence[str] = ()
+    df: DataFrame,
+    key: Column | str,
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep the first row by ``order`` of each distinct ``key`` text (inside ``by``).
 
     Copies are combined before the shuffle, so a text that makes up a third of
-    the table sends one row per task.
+    the table sends one row per task. ``keep`` names the columns to carry; without
+    the text among them only digests are shuffled.
     """
-    return _firsts(df, key, order, by).drop("_digest")
+    return _firsts(df, key, order, by, keep).drop("_digest")
 
 
 def new_only(

@@ -109,7 +109,7 @@ def generate_until(
     native: bool = False,
     partitions: int | None = None,
     factor: float = 1.5,
-    rounds: int = 4,
+    rounds: int = 5,
     small: int = SMALL,
 ) -> DataFrame:
     """Accepted samples, without calling the generator far beyond the cap.
@@ -119,16 +119,20 @@ def generate_until(
     generating everything and accepting the first ``max_examples``.
     """
     made = key = None
-    missing = max_examples
+    missing, taken = max_examples, 0
     for turn in range(rounds):
         rest = candidates if key is None else candidates.where(~up_to(order, key))
         key = None
         if turn < rounds - 1:
-            key = nth_key(rest, order, math.ceil(missing * factor), small)
+            # the share accepted so far says how many candidates the rest will need
+            share = max(max_examples - missing, 1) / taken if taken else 1.0
+            size = math.ceil(missing / share * factor)
+            key, taken = nth_key(rest, order, size, small), taken + size
         batch = rest if key is None else rest.where(up_to(order, key))
         answered = generate_with_retry(batch, generator, rules, "prompt", native, partitions)
-        # a generator may answer differently when asked again
-        kept = materialise(answered.where(is_qa("response")))
+        # a generator may answer differently when asked again; the format check comes
+        # after the write, since a filter before it would evaluate the cleaning twice
+        kept = materialise(answered).where(is_qa("response"))
         made = kept if made is None else made.unionByName(kept)
         accepted = accept(made, max_examples, order, small=small)
         missing = max_examples - accepted.count()

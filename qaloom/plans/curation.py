@@ -145,7 +145,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     accepted = curate.dedup_first(
-        candidates(spark, sf).where(is_qa("response")), "response", CANDIDATE_ORDER
+        candidates(spark, sf).where(is_qa("response")),
+        "response",
+        CANDIDATE_ORDER,
+        keep=CANDIDATE_ORDER,
     )
     return curate.attainment(accepted, MAX_EXAMPLES)
 
@@ -323,6 +326,6 @@ def _(spark, sf):
     SELECT doc_id, length(text) AS length FROM first, q WHERE length(text) BETWEEN lo AND hi""",
 )
 def _(spark, sf):
-    docs = curate.text_features(R.documents(spark, sf))
-    first = curate.dedup_first(docs.select("doc_id", "length", "text"), "text", ["doc_id"])
+    docs = table(spark, sf, "documents").withColumn("length", F.length("text").cast("bigint"))
+    first = curate.dedup_first(docs, "text", ["doc_id"], keep=["doc_id", "length"])
     return curate.trim_quantiles(first).select("doc_id", "length")

@@ -24,7 +24,9 @@ def page_scan(df: DataFrame, doc: str = "doc_id", text: str = "text", sep: str =
     return (
         df.select(doc, F.filter(_pages(text, sep), lambda p: non_blank(p["text"])).alias("_pages"))
         .select(doc, "_pages", F.size("_pages").alias("n_pages"))
-        .select(doc, "n_pages", F.posexplode("_pages"))
+        # the outer form, because the other one adds a filter that splits the text again
+        .select(doc, "n_pages", F.posexplode_outer("_pages"))
+        .where(F.col("pos").isNotNull())
         .select(
             doc,
             "col.page_no",
