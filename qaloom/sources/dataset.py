@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ def _usable(spark: SparkSession, path: str) -> bool:
             return False
         df.limit(1).collect()
         return True
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return False
 
 

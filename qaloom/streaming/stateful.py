@@ -19,7 +19,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from qaloom import fixed_values as fv
 from qaloom.operators import chat, monitor
 
-HEALTH_OUT = "run_id bigint, step bigint, bad_count bigint, status string, avg_loss double"
+HEALTH_OUT = (
+    "run_id bigint, step bigint, bad_count bigint, status string, avg_loss double, no_mean boolean"
+)
 HEALTH_STATE = (
     "n_seen bigint, bad_count bigint, last_loss double, recent array<double>, "
     "stopped boolean, last_step bigint, n_late bigint"
@@ -116,17 +118,19 @@ def health_stream(events: DataFrame, patience: int = monitor.PATIENCE) -> DataFr
             )
         ]
         state.update(run.saved())
-        yield pd.DataFrame(out, columns=["run_id", "step", "bad_count", "status", "avg_loss"]).astype(
-            {"bad_count": "Int64"}
-        )
+        seen = pd.DataFrame(out, columns=["run_id", "step", "bad_count", "status", "avg_loss"])
+        seen["no_mean"] = [row[-1] is None for row in out]
+        yield seen.astype({"bad_count": "Int64", "avg_loss": "float64"})
 
-    # pandas shows a null number as NaN, so the null is told in a column of its own
+    # pandas holds a null number as NaN, so both ways a column of its own tells them apart
     told = events.where(F.col("loss").isNotNull()).select(
         "run_id", "step", "loss", "grad_norm", F.col("grad_norm").isNotNull().alias("has_grad")
     )
-    return told.groupBy("run_id").applyInPandasWithState(
+    watched = told.groupBy("run_id").applyInPandasWithState(
         watch, HEALTH_OUT, HEALTH_STATE, "append", GroupStateTimeout.NoTimeout
     )
+    mean = F.when(~F.col("no_mean"), F.coalesce("avg_loss", F.lit(float("nan"))))
+    return watched.withColumn("avg_loss", mean).drop("no_mean")
 
 
 def chat_stream(
