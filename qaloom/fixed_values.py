@@ -75,6 +75,7 @@ TECHNICAL_REWRITES = (
     (r"{ws}+", " "),
     (r"([.!?]){ws}*([a-z])", "$1 $2"),
 )
+TECHNICAL_WORDS = ("-XX:+Use", "-Xmx", "-Xms", "jstack", "jmap")
 ANSWER_DELETIONS = ("---", "**", ")", "(")
 ANSWER_ARTIFACTS = ("###", "**", "---", "```", "`", "\n\n", "\t")
 SENTENCE_ENDS = (".", "!", "?")

@@ -39,9 +39,14 @@ def non_blank(col: Column | str) -> Column:
     return F.coalesce(F.length(strip(col)) > 0, F.lit(False))
 
 
-def words(col: Column | str) -> Column:
-    """Whitespace-separated words, without empty ones."""
-    return F.filter(F.split(as_column(col), fv.SPACE_CLASS + "+"), lambda w: w != "")
+def words(col: Column | str, first: int | None = None) -> Column:
+    """Whitespace-separated words; with ``first`` only that many, and no more are cut off."""
+    c = strip(col)
+    if first is None:
+        cut = F.split(c, fv.SPACE_CLASS + "+")
+    else:
+        cut = F.slice(F.split(c, fv.SPACE_CLASS + "+", first + 1), 1, first)
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(cut)
 
 
 def count_of(col: Column | str, needle: str) -> Column:
@@ -106,14 +111,19 @@ def clean_technical(col: Column | str, fix_sizes: bool = False) -> Column:
     ``-Xmx51gm``); ``fix_sizes=True`` appends a unit only where none stands.
     """
     c = as_column(col)
-    for pattern, new in fv.TECHNICAL_REWRITES:
+    *tools, spaces, sentences = fv.TECHNICAL_REWRITES
+
+    def rewrite(text: Column, pattern: str, new: str) -> Column:
         if fix_sizes and pattern.startswith("-Xm"):
             flag, unit = pattern[:4], new[-1]
-            c = F.regexp_replace(c, rf"{flag}(\p{{Nd}}+)(?![\p{{Nd}}kKmMgGtT])", f"{flag}$1{unit}")
-            continue
+            pattern, new = rf"{flag}(\p{{Nd}}+)(?![\p{{Nd}}kKmMgGtT])", f"{flag}$1{unit}"
         pattern = pattern.replace("{ws}", fv.SPACE_CLASS).replace("{name}", fv.NO_SPACE_OR_COMMA)
-        c = F.regexp_replace(c, pattern, new)
-    return strip(c)
+        return F.regexp_replace(text, pattern, new)
+
+    # each tool rewrite needs its own word, and none of them makes another's word
+    rewritten = reduce(lambda text, step: rewrite(text, *step), tools, c)
+    c = F.when(contains_any(c, fv.TECHNICAL_WORDS), rewritten).otherwise(c)
+    return strip(rewrite(rewrite(c, *spaces), *sentences))
 
 
 def clean_answer(col: Column | str) -> Column:

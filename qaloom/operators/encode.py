@@ -17,10 +17,9 @@ from qaloom.functions.text import as_column, words
 VALUE_LIMIT = 200_000
 
 
-def tokens(col: Column | str, eos: str = fv.END_TOKEN) -> Column:
+def tokens(col: Column | str, eos: str = fv.END_TOKEN, first: int | None = None) -> Column:
     """Words; the end token stands alone even where it touches a word."""
-    c = F.replace(as_column(col), F.lit(eos), F.lit(f" {eos} "))
-    return words(c)
+    return words(F.replace(as_column(col), F.lit(eos), F.lit(f" {eos} ")), first)
 
 
 def learn_vocab(df: DataFrame, size: int, text: str = "text", eos: str = fv.END_TOKEN) -> DataFrame:
@@ -90,7 +89,7 @@ def encode(
         raise ValueError(f"a vocabulary above {VALUE_LIMIT} words needs encode_by_join")
     slots = max(1, vocab_size // 4)
     table = _lookup(vocab.select("token", "token_id"), slots)
-    head = F.slice(tokens(text, eos), 1, max_length)
+    head = tokens(text, eos, max_length)
 
     def to_id(t: Column) -> Column:
         known = F.try_element_at(F.col("_vocab")[_slot(t, slots)], t)
@@ -122,7 +121,7 @@ def encode_by_join(
     occurrences are salted over the vocabulary copies.
     """
     salts = 16
-    head = F.slice(tokens(text, eos), 1, max_length)
+    head = tokens(text, eos, max_length)
     occurrences = (
         df.select(*ids, F.posexplode_outer(head).alias("pos", "token"))
         .withColumn("_salt", F.pmod(F.xxhash64(*ids, "pos"), F.lit(salts)))

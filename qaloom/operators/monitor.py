@@ -51,12 +51,16 @@ def _with_history(events: DataFrame, run: str) -> DataFrame:
     )
     good = F.when(_ok(F.col("loss")), F.col("loss"))
     return (
-        events.withColumn("_n_here", F.row_number().over(_in_block(run)))
-        .withColumn("_last_here", F.last(good, ignorenulls=True).over(before_row))
+        events.withColumn("_loss_good", good)
+        .select(
+            "*",
+            F.row_number().over(_in_block(run)).alias("_n_here"),
+            F.last("_loss_good", ignorenulls=True).over(before_row).alias("_last_here"),
+        )
         .join(blocks, [run, "_block"])
         .withColumn("n_seen", F.col("_n_before") + F.col("_n_here"))
         .withColumn("last_loss", F.coalesce("_last_here", "_last_before"))
-        .drop("_n_before", "_n_here", "_last_here", "_last_before")
+        .drop("_loss_good", "_n_before", "_n_here", "_last_here", "_last_before")
     )
 
 
@@ -93,7 +97,8 @@ def health(
     marked = (
         _with_history(seen, run)
         .withColumn("_sign", loss_sign)
-        .withColumn("_sum", F.sum(signs).over(so_far))
+        .withColumn("_signs", signs)
+        .withColumn("_sum", F.sum("_signs").over(so_far))
         .withColumn(
             "_sum_good", F.last(F.when(_ok(loss), F.col("_sum")), ignorenulls=True).over(before_row)
         )
