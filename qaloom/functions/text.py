@@ -189,6 +189,14 @@ def retry_prompt(prompt: Column | str, flags: Column | str) -> Column:
     )
 
 
+def generation_messages(prompt: Column | str, system: str = fv.SYSTEM_PROMPT) -> Column:
+    """The prompt as a chat model's message list, after the system message."""
+    return F.array(
+        F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")),
+        F.struct(F.lit("user").alias("role"), as_column(prompt).alias("content")),
+    )
+
+
 def evaluation_prompt(question: Column | str) -> Column:
     return F.concat(F.lit(fv.HUMAN + " "), as_column(question), F.lit("\n" + fv.ASSISTANT))
 

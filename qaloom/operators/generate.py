@@ -14,7 +14,7 @@ from qaloom import fixed_values as fv
 from qaloom.functions.checks import Rules, quality_flags
 from qaloom.functions.text import build_prompt, clean_technical, is_qa, retry_prompt
 from qaloom.operators.curate import accept, fan_out
-from qaloom.operators.selection import SMALL, nth_key, up_to
+from qaloom.operators.selection import SMALL, after, nth_key, up_to
 from qaloom.session import materialise
 
 Generator = Callable[[str], str]
@@ -121,7 +121,7 @@ def generate_until(
     made = key = None
     missing, taken = max_examples, 0
     for turn in range(rounds):
-        rest = candidates if key is None else candidates.where(~up_to(order, key))
+        rest = candidates if key is None else candidates.where(after(order, key))
         key = None
         if turn < rounds - 1:
             # the share accepted so far says how many candidates the rest will need

@@ -25,7 +25,17 @@ def up_to(order: Sequence[str], key: Sequence[int]) -> Column:
     test = F.col(last[0]) <= last[1]
     for name, value in reversed(front):
         test = (F.col(name) < value) | ((F.col(name) == value) & test)
-    return test
+    # said on its own, the bound of the first column reaches the scan
+    return (F.col(order[0]) <= key[0]) & test if front else test
+
+
+def after(order: Sequence[str], key: Sequence[int]) -> Column:
+    """Rows whose order columns come after ``key``."""
+    *front, last = list(zip(order, key))
+    test = F.col(last[0]) > last[1]
+    for name, value in reversed(front):
+        test = (F.col(name) > value) | ((F.col(name) == value) & test)
+    return (F.col(order[0]) >= key[0]) & test if front else test
 
 
 def _last_of(rows: DataFrame, order: Sequence[str], n: int) -> tuple[int, ...] | None:

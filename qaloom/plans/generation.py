@@ -18,7 +18,7 @@ from qaloom.plans.texts import SQL_GATE, sql_technical
 from qaloom.session import work_path
 from qaloom.sources.pages import page_scan
 from qaloom.streaming import stateful
-from qaloom.streaming.tables import run_to_table, stream_table
+from qaloom.streaming.tables import feed_in_order, run_to_table, stream_table
 
 
 def extract(prompt: str) -> str:
@@ -158,7 +158,8 @@ def dataset_quality(spark, sf):
     cleaned AS (SELECT item_id, CASE WHEN c = '' OR right(c, 1) IN ('.', '!', '?') THEN c
       WHEN dot > length(c) * CAST(0.7 AS DOUBLE) THEN left(c, dot + 1) ELSE c || '.' END AS clean
       FROM placed)
-    SELECT item_id, 5 AS total, CASE WHEN {R.SQL_ANSWER_OK} THEN 5 ELSE 0 END AS successes,
+    SELECT item_id, {big('5')} AS total,
+      {big(f"CASE WHEN {R.SQL_ANSWER_OK} THEN 5 ELSE 0 END")} AS successes,
       CAST(CASE WHEN {R.SQL_ANSWER_OK} THEN 100 ELSE 0 END AS DOUBLE) AS success_pct,
       CAST(CASE WHEN {R.SQL_ANSWER_OK} THEN length(clean) ELSE 0 END AS DOUBLE) AS avg_len,
       CASE WHEN NOT {R.SQL_ANSWER_OK} THEN 'POOR' WHEN length(clean) >= 100 THEN 'EXCELLENT'
@@ -187,11 +188,11 @@ def _(spark, sf):
     FROM health h JOIN rolled USING (run_id, step)""",
 )
 def _(spark, sf):
-    path = work_path(spark, "metrics")
-    R.metrics(spark, sf).write.parquet(path)
-    watched = stateful.health_stream(stream_table(spark, path))
+    watched = feed_in_order(
+        R.metrics(spark, sf), "step", stateful.health_stream, work_path(spark, "health")
+    )
     mean = F.when(~F.isnan("avg_loss"), F.round("avg_loss", 4))
-    return run_to_table(watched, work_path(spark, "health")).withColumn("avg_loss", mean)
+    return watched.withColumn("avg_loss", mean)
 
 
 @query(
@@ -200,8 +201,8 @@ def _(spark, sf):
       least(exchange_no, 5) || '/5' AS occupancy FROM context""",
 )
 def _(spark, sf):
-    turns = stream_table(spark, sf, "conversations.parquet")
-    return run_to_table(stateful.chat_stream(turns), work_path(spark, "chat"))
+    turns = table(spark, sf, "conversations")
+    return feed_in_order(turns, "turn", stateful.chat_stream, work_path(spark, "chat"), 10_000)
 
 
 # the column functions as they are, on a stream

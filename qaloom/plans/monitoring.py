@@ -152,7 +152,7 @@ def _(spark, sf):
 
 @query(
     "render_chat",
-    """SELECT conv_id, 0 AS segment, string_agg(text || '<|endoftext|>', '' ORDER BY turn) AS rendered
+    """SELECT conv_id, CAST(0 AS BIGINT) AS segment, string_agg(text || '<|endoftext|>', '' ORDER BY turn) AS rendered
     FROM conversations GROUP BY conv_id""",
 )
 def _(spark, sf):

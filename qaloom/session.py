@@ -59,10 +59,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to shared storage and go on from there.
+    """Write ``df`` once as a table on shared storage and go on from there.
 
     Needed after a function that may answer differently on each call, and
-    before a table is scanned several times. Survives the loss of executors.
+    before a table is scanned several times. Survives the loss of executors,
+    and later steps read only the columns they use.
     """
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = work_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -167,10 +167,24 @@ def test_rounds_equal_one_go(spark, sf_dir, cap, rounds):
     made = generate.generate_with_retry(attempts, extract).where(is_qa("response"))
     want = curate.accept(made, cap, ORDER).collect()
     assert rows == sorted((r.doc_id, r.page_ix, r.attempt, r.response) for r in want)
+    assert calls.value <= 2 * attempts.count()
     if cap == 5:
         assert 0 < calls.value < attempts.count()
 
 
+def test_generator_is_called_once_per_prompt(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(prompt):
+        calls.add(1)
+        return f"### Human: {prompt} ### Assistant: " + "heap " * 30
+
+    rows = [(1, 0, i, f"p{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, page_ix bigint, attempt bigint, prompt string")
+    got = generate.generate_until(df, model, 40, ORDER, rounds=1)
+    assert got.count() == 40 and got.count() == 40 and calls.value == 40
+
+
 def test_build_dataset(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     samples = jobs.build_dataset(docs, extract, 50, partitions=4, template="{text}")

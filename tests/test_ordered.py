@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qaloom.operators.ordered import number_rows, with_neighbours
-from qaloom.operators.selection import nth_key, split_by_hash, split_exact, take_first
+from qaloom.operators.selection import after, nth_key, split_by_hash, split_exact, take_first
 
 
 @pytest.fixture(scope="module")
@@ -72,6 +72,8 @@ def test_take_first(ordered, small):
     got = sorted(tuple(r) for r in take_first(df, ["a", "b"], 200, small).collect())
     assert got == rows[:200]
     assert take_first(df, ["a", "b"], 10**5, small).count() == len(rows)
+    rest = sorted(tuple(r) for r in df.where(after(["a", "b"], rows[199])).collect())
+    assert rest == rows[200:]
 
 
 @pytest.mark.parametrize("small", [5, 10**6])

@@ -6,11 +6,10 @@ import math
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from qaloom.operators import chat, curate, monitor
 from qaloom.streaming import stateful
-from qaloom.streaming.tables import run_to_table, stream_table
+from qaloom.streaming.tables import feed_in_order, run_to_table, stream_table
 from test_monitor import SCHEMA, runs
 
 
@@ -18,24 +17,9 @@ def same(a, b):
     return a == b or (a is not None and b is not None and math.isnan(a) and math.isnan(b))
 
 
-def in_batches(spark, df, order, folder, cuts):
-    """One file per micro-batch, in the order the rows happened."""
-    bounds = [None, *cuts, None]
-    for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
-        part = df
-        if low is not None:
-            part = part.where(F.col(order) >= low)
-        if high is not None:
-            part = part.where(F.col(order) < high)
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        time.sleep(1.1)  # files are taken in the order of their times
-    return stream_table(spark, f"{folder}/in", per_trigger=1)
-
-
 def test_health_stream(spark, tmp_path):
     df = spark.createDataFrame(runs(n=40), SCHEMA)
-    stream = in_batches(spark, df, "step", str(tmp_path), [11, 25])
-    got = run_to_table(stateful.health_stream(stream), f"{tmp_path}/out").collect()
+    got = feed_in_order(df, "step", stateful.health_stream, str(tmp_path), span=13).collect()
     want = {(r.run_id, r.step): r for r in monitor.health(df).collect()}
     means = {(r.run_id, r.step): r.avg_loss for r in monitor.rolling_loss(df).collect()}
     assert {(r.run_id, r.step) for r in got} == set(want)
@@ -62,8 +46,7 @@ def test_late_events(spark, tmp_path):
 def test_chat_stream(spark, tmp_path):
     rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}.{t}") for c in range(3) for t in range(16)]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    stream = in_batches(spark, df, "turn", str(tmp_path), [3, 8])
-    got = run_to_table(stateful.chat_stream(stream), f"{tmp_path}/out").collect()
+    got = feed_in_order(df, "turn", stateful.chat_stream, str(tmp_path), span=5).collect()
     for span in (100_000, 3):
         batch = chat.chat_context(curate.compose_qa(df, span), span=span).collect()
         assert sorted((r.conv_id, r.turn, r.exchange_no, r.n_past, r.context) for r in got) == sorted(

@@ -167,6 +167,8 @@ def test_artifact_name(spark):
 def test_messages(spark):
     df = spark.createDataFrame([([("user", "a"), ("assistant", "b")],)], "m array<struct<role:string,content:string>>")
     assert df.select(X.render_messages("m", "|")).first()[0] == "a|b|"
+    asked = spark.range(1).select(X.generation_messages(F.lit("p")).alias("m")).first()[0]
+    assert [tuple(m) for m in asked] == [("system", fv.SYSTEM_PROMPT), ("user", "p")]
 
 
 @pytest.mark.parametrize(
