@@ -184,14 +184,14 @@ def _(spark, sf):
     SELECT h.run_id, h.step, bad_count, status,
       CASE WHEN NOT starts_with(status, 'stop_') AND status <> 'after_stop' AND h.step > 0 AND h.step % 10 = 0
             AND NOT isnan(h.loss) AND NOT isinf(h.loss) AND h.loss <> 0 AND NOT isnan(m)
-           THEN {sql_round('m')} END AS avg_loss
+           THEN {sql_round('m', 6)} END AS avg_loss
     FROM health h JOIN rolled USING (run_id, step)""",
 )
 def _(spark, sf):
     watched = feed_in_order(
         R.metrics(spark, sf), "step", stateful.health_stream, work_path(spark, "health")
     )
-    mean = F.when(~F.isnan("avg_loss"), F.round("avg_loss", 4))
+    mean = F.when(~F.isnan("avg_loss"), F.round("avg_loss", 6))
     return watched.withColumn("avg_loss", mean)
 
 

@@ -77,12 +77,12 @@ def _(spark, sf):
     "rolling_loss",
     f"""WITH {SQL_METRICS}, m AS (SELECT *, avg(loss) OVER (PARTITION BY run_id ORDER BY step
         ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS avg_loss FROM metrics)
-    SELECT run_id, step, CASE WHEN isnan(avg_loss) THEN NULL ELSE {sql_round('avg_loss')} END AS avg_loss
+    SELECT run_id, step, CASE WHEN isnan(avg_loss) THEN NULL ELSE {sql_round('avg_loss', 6)} END AS avg_loss
     FROM m WHERE {_OK} AND step > 0 AND step % 10 = 0""",
 )
 def _(spark, sf):
     rolled = monitor.rolling_loss(R.metrics(spark, sf))
-    mean = F.when(~F.isnan("avg_loss"), F.round("avg_loss", 4))
+    mean = F.when(~F.isnan("avg_loss"), F.round("avg_loss", 6))
     return rolled.select("run_id", "step", mean.alias("avg_loss"))
 
 
