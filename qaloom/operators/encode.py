@@ -15,6 +15,7 @@ from qaloom import fixed_values as fv
 from qaloom.functions.text import as_column, words
 
 VALUE_LIMIT = 200_000
+_KEYS = ("input_ids", "attention_mask", "labels")
 
 
 def tokens(col: Column | str, eos: str = fv.END_TOKEN, first: int | None = None) -> Column:
@@ -163,12 +164,31 @@ def decode(
     )
 
 
-def check_encoded(df: DataFrame) -> DataFrame:
-    """One row: row count, the length all rows share, and whether they do."""
+def check_round_trip(
+    df: DataFrame,
+    vocab: DataFrame,
+    max_length: int,
+    text: str = "text",
+    vocab_size: int = VALUE_LIMIT,
+    eos: str = fv.END_TOKEN,
+) -> DataFrame:
+    """One row: vocabulary size, rows, and rows whose words come back from their ids."""
+    kept = F.filter(tokens(text, eos, max_length), lambda w: w != eos)
+    asked = df.withColumn("_asked", F.array_join(kept, " "))
+    back = decode(encode(asked, vocab, max_length, text, vocab_size, eos), vocab)
+    return back.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("decoded") == F.col("_asked")).alias("n_exact"),
+    ).withColumn("vocab_size", vocab.agg(F.count(F.lit(1))).scalar())
+
+
+def check_encoded(df: DataFrame, batch: int = 2) -> DataFrame:
+    """One row: row count, key list, the length all rows share, a batch's shape."""
     n, m, k = (F.size(c) for c in ("input_ids", "attention_mask", "labels"))
     low = F.least(F.min(n), F.min(m), F.min(k))
     high = F.greatest(F.max(n), F.max(m), F.max(k))
     return df.agg(
+        F.lit(",".join(c for c in df.columns if c in _KEYS)).alias("keys"),
         F.count(F.lit(1)).alias("n_rows"),
         low.cast("bigint").alias("min_length"),
         high.cast("bigint").alias("max_length"),
@@ -176,4 +196,5 @@ def check_encoded(df: DataFrame) -> DataFrame:
         F.coalesce(F.bool_and(F.col("input_ids") == F.col("labels")), F.lit(True)).alias(
             "labels_match"
         ),
+        F.concat_ws("x", F.least(F.count(F.lit(1)), F.lit(batch)), high).alias("batch_shape"),
     )

@@ -83,11 +83,24 @@ def _(spark, sf):
     return E.decode(training_rows(spark, sf), vocabulary(spark, sf)).select("doc_id", "decoded")
 
 
+@query(
+    "check_round_trip",
+    f"""WITH {SQL_TOKENS} SELECT count(*) AS n_rows,
+      count(*) FILTER (WHERE NOT coalesce(list_contains(seen, '<unk>'), false)) AS n_exact,
+      (SELECT count(*) FROM vocab) AS vocab_size FROM rows""",
+)
+def _(spark, sf):
+    return E.check_round_trip(
+        training_texts(spark, sf), vocabulary(spark, sf), LENGTH, vocab_size=VOCAB
+    )
+
+
 @query(
     "check_encoded",
     f"""WITH {SQL_TOKENS} SELECT count(*) AS n_rows, min(len(input_ids)) AS min_length,
       max(len(input_ids)) AS max_length, min(len(input_ids)) = max(len(mask)) AS is_uniform,
-      true AS labels_match FROM rows""",
+      true AS labels_match, 'input_ids,attention_mask,labels' AS keys,
+      least(count(*), 2) || 'x' || max(len(input_ids)) AS batch_shape FROM rows""",
 )
 def _(spark, sf):
     return E.check_encoded(training_rows(spark, sf))

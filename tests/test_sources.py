@@ -144,7 +144,9 @@ def test_encode(spark):
     assert encode.encode(df, vocab, 4, vocab_size=2).first().input_ids == want[1] + [end] * 4
     decoded = {r.id: r.decoded for r in encode.decode(one, vocab).collect()}
     assert decoded == {1: "a b a <unk>", 2: "a b", 3: "<unk>", 4: ""}
-    assert tuple(encode.check_encoded(one).first()) == (4, 4, 4, True, True)
+    checked = ("input_ids,attention_mask,labels", 4, 4, 4, True, True, "2x4")
+    assert tuple(encode.check_encoded(one).first()) == checked
+    assert tuple(encode.check_round_trip(df, vocab, 4, vocab_size=2).first()) == (4, 2, 2)
     with pytest.raises(ValueError):
         encode.encode(df, vocab, 4, vocab_size=10**7)
 
