@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaloom.llm import simhash
+from qaloom.llm import lines, mixing, pieces, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def piece_model() -> str:
+    """Where the public 32k piece model lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,8 +32,64 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many boilerplate lines each document loses, and the hash of what stays."""
+    return lines.drop_boilerplate(read(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_dropped",
+        F.md5(F.coalesce("clean", F.lit(""))).alias("clean_md5"),
+    )
+
+
+SQL_OP3 = f"""WITH line AS (
+  SELECT doc_id, source, unnest(range(len(parts))) AS i, unnest(parts) AS line
+  FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+boilerplate AS (
+  SELECT trim(line) AS k, min(doc_id) AS first_id FROM line
+  WHERE trim(line) <> '' AND source IS NOT NULL
+  GROUP BY 1 HAVING count(DISTINCT source) >= {lines.MIN_SITES}),
+marked AS (
+  SELECT doc_id, i, line, k IS NOT NULL AND (first_id IS NULL OR doc_id <> first_id) AS gone
+  FROM line LEFT JOIN boilerplate ON trim(line) = k)
+SELECT doc_id, count(*) FILTER (gone) AS n_dropped,
+  md5(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS clean_md5
+FROM marked GROUP BY doc_id"""
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and the mixing rate of every document."""
+    rated = mixing.mixing_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return rated.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        *(F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(mixing.TARGETS)),
+        "rate",
+    )
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, and hashes of its ids and of the decoded text."""
+    return pieces.round_trip(read(spark, sf_dir, "documents"), piece_model()).select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, distances and verdicts of every document."""
+    return quality.quality(read(spark, sf_dir, "documents")).withColumnRenamed("row_id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_line_dedup": op3_line_dedup,
+    "op5_mixing": op5_mixing,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op8_quality_rules": op8_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": SQL_OP3,
+}
