@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaloom.llm import lines, mixing, pieces, quality, simhash
+from qaloom.llm import extraction, lines, mixing, pieces, pii, quality, simhash, token_counts, urls, vectors
+
+from qaloom.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,35 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after loading all documents, recounting without license lines, and taking toxic ones out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    ledger = token_counts.TokenLedger(spark, work_path(spark, "token-ledger"))
+    load = token_counts.counted(docs, "insert", "words-1").unionByName(token_counts.counted(docs, "insert", "words-2"))
+    ledger.apply("load", load)
+    licensed = docs.where(F.col("text").contains(LICENSE))
+    trimmed = F.array_join(F.filter(F.split("text", "\n"), lambda line: ~line.contains(LICENSE)), "\n")
+    ledger.apply("trim", token_counts.counted(licensed.withColumn("text", trimmed), "revise", "words-1"))
+    ledger.apply("takedown", token_counts.deletions(labels.where("toxic = 1 AND doc_id IS NOT NULL"), "words-2"))
+    ledger.apply("load", load)  # a batch that comes again changes nothing
+    return ledger.totals()
+
+
+LICENSE = "Licensed under"
+
+SQL_OP2 = f"""WITH counted AS (
+  SELECT 'words-1' AS tokenizer, source, lang, len(regexp_extract_all(
+    CASE WHEN contains(text, '{LICENSE}') THEN array_to_string(
+      list_filter(string_split(text, chr(10)), lambda x: NOT contains(x, '{LICENSE}')), chr(10))
+    ELSE coalesce(text, '') END, '[^\\x20\\x09-\\x0D]+')) AS n
+  FROM documents
+  UNION ALL
+  SELECT 'words-2', source, lang, len(regexp_extract_all(coalesce(text, ''), '[\\p{{L}}\\p{{N}}]+'))
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))
+SELECT tokenizer, source, lang, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM counted GROUP BY ALL"""
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many boilerplate lines each document loses, and the hash of what stays."""
     return lines.drop_boilerplate(read(spark, sf_dir, "documents")).select(
@@ -56,6 +87,21 @@ SELECT doc_id, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id"""
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts and hash, and all spans."""
+    found = pii.personal_data(read(spark, sf_dir, "documents"))
+
+    def count(k: int, kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(count(k, kind) for k, kind in enumerate(pii.KINDS)),
+        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain posteriors and the mixing rate of every document."""
     rated = mixing.mixing_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -77,19 +123,43 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return urls.judge_urls(read(spark, sf_dir, "pages"), keep=("page_id",))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, distances and verdicts of every document."""
     return quality.quality(read(spark, sf_dir, "documents")).withColumnRenamed("row_id", "doc_id")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extraction.extract(read(spark, sf_dir, "pages"), keep=("url",)).select(
+        F.col("id").alias("page_id"), F.col("row.url").alias("url"), "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return vectors.vector_groups(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_line_dedup": op3_line_dedup,
+    "op4_pii": op4_pii,
     "op5_mixing": op5_mixing,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_url_filters": op7_url_filters,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_token_counts": SQL_OP2,
     "op3_line_dedup": SQL_OP3,
+    "op7_url_filters": urls.judge_sql(),
 }
