@@ -33,6 +33,8 @@ MAX_TOKEN = 64
 SHAPED = r"[0-9@]|[(\[{]at[)\]}]"
 BREAK = "[ \\t\\n\\x0B\\f\\r]"
 
+HEAD, TAIL = r"^[(\[<\"'`]+", r"[)\]>\"'`.,;:!?]+$"
+
 SPAN = "array<struct<kind:int,start:int,end:int>>"
 
 
@@ -111,8 +113,8 @@ def contexts(docs: DataFrame) -> DataFrame:
         "mark",
         "place",
         core(F.get("words", F.col("place"))).alias("token"),
-        F.when(F.col("place") > 0, word(F.col("place") - 1)).otherwise("").alias("before"),
-        word(F.col("place") + 1).alias("after"),
+        F.when(F.col("place") > 0, F.regexp_replace(word(F.col("place") - 1), HEAD, "")).otherwise("").alias("before"),
+        F.regexp_replace(word(F.col("place") + 1), TAIL, "").alias("after"),
     )
     rows = rows.where(F.length("token").between(5, MAX_TOKEN))
     both = F.array(
@@ -123,9 +125,6 @@ def contexts(docs: DataFrame) -> DataFrame:
     return rows.withColumn("pattern", F.explode(both)).drop("before", "after")
 
 
-HEAD, TAIL = r"^[(\[<\"'`]+", r"[)\]>\"'`.,;:!?]+$"
-
-
 def core(word: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(word, HEAD, ""), TAIL, "")
 
