@@ -30,9 +30,11 @@ ROUNDS = 4
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.8
 MAX_TOKEN = 64
+BREAKS = r"\x20\t\n\x0B\f\r"
 SHAPED = r"[0-9@]|[(\[{]at[)\]}]"
-BREAK = "[ \\t\\n\\x0B\\f\\r]"
-
+#: a whole word with such a part; tried at the start of words only
+SHAPED_WORD = f"(?<![^{BREAKS}])[^{BREAKS}]*(?:{SHAPED})[^{BREAKS}]*"
+NEAR = 64
 HEAD, TAIL = r"^[(\[<\"'`]+", r"[)\]>\"'`.,;:!?]+$"
 
 SPAN = "array<struct<kind:int,start:int,end:int>>"
@@ -97,26 +99,46 @@ def joined(spans: Column) -> Column:
 def contexts(docs: DataFrame) -> DataFrame:
     """Identifier-shaped words of the rows ``(owner, no_owner, mark, text)`` with the words around them.
 
-    ``token`` is the word without brackets, quotes and stops at its ends, ``place`` its
-    number among the pieces between single space characters, ``pattern`` a context:
-    the word before, the word after, or both. Words without a digit, ``@`` or a bracketed
-    ``at`` are no identifiers, and texts without any are skipped.
+    ``token`` is the word without brackets, quotes and stops at its ends, ``start`` its
+    place, ``pattern`` a context: the word before, the word after, or both (of very long
+    words the near ``NEAR`` characters). Words without a digit, ``@`` or a bracketed ``at``
+    are no identifiers, and texts without any are skipped.
     """
-    words = F.split("text", BREAK, -1)
-    shaped = docs.where(F.col("text").rlike(SHAPED)).withColumn("words", words)
-    n = F.size("words")
-    at = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", i).rlike(SHAPED))
-    word = lambda i: F.coalesce(F.lower(F.get("words", i)), F.lit(""))
-    rows = shaped.withColumn("place", F.explode(at)).select(
+    shaped = docs.where(F.col("text").rlike(SHAPED)).select(
         "owner",
         "no_owner",
         "mark",
-        "place",
-        core(F.get("words", F.col("place"))).alias("token"),
-        F.when(F.col("place") > 0, F.regexp_replace(word(F.col("place") - 1), HEAD, "")).otherwise("").alias("before"),
-        F.regexp_replace(word(F.col("place") + 1), TAIL, "").alias("after"),
+        F.regexp_extract_all("text", F.lit(SHAPED_WORD), F.lit(0)).alias("found"),
+        F.split("text", SHAPED_WORD, -1).alias("between"),
     )
-    rows = rows.where(F.length("token").between(5, MAX_TOKEN))
+    none = F.array().cast("array<int>")
+
+    def step(state: Column, i: Column) -> Column:
+        at = state["at"] + F.length(F.get("between", i))
+        end = at + F.length(F.get("found", i))
+        return F.struct(end.alias("at"), F.concat(state["starts"], F.array(at)).alias("starts"))
+
+    first = F.struct(F.lit(0).alias("at"), none.alias("starts"))
+    starts = F.aggregate(F.sequence(F.lit(0), F.size("found") - 1), first, step)["starts"]
+    rows = shaped.withColumn("starts", starts).select("*", F.posexplode("found").alias("i", "word"))
+    i = F.col("i")
+
+    def other(piece: Column, pattern: str, neighbour: Column) -> Column:
+        near = F.regexp_extract(F.coalesce(piece, F.lit("")), pattern, 1)
+        return F.lower(F.when(near != "", near).otherwise(F.coalesce(neighbour, F.lit(""))))
+
+    before = other(F.right(F.get("between", i), F.lit(NEAR)), f"([^{BREAKS}]+)[{BREAKS}]*$", F.get("found", i - 1))
+    after = other(F.left(F.get("between", i + 1), F.lit(NEAR)), f"^[{BREAKS}]*([^{BREAKS}]+)", F.get("found", i + 1))
+    lead = F.length("word") - F.length(F.regexp_replace("word", HEAD, ""))
+    rows = rows.select(
+        "owner",
+        "no_owner",
+        "mark",
+        core(F.col("word")).alias("token"),
+        (F.get("starts", i) + lead).alias("start"),
+        F.regexp_replace(before, HEAD, "").alias("before"),
+        F.regexp_replace(after, TAIL, "").alias("after"),
+    ).where(F.length("token").between(5, MAX_TOKEN))
     both = F.array(
         F.concat(F.col("before"), F.lit(" _")),
         F.concat(F.lit("_ "), F.col("after")),
@@ -203,25 +225,14 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         row_id.isNull().alias("no_owner"),
         text_of(F.col(f"`{text_col}`")).alias("text"),
     ).withColumn("mark", F.xxhash64("text"))
-    base = given.withColumn("base", F.concat(*(base_spans(F.col("text"), k) for k in KINDS)))
-    key = ["owner", "no_owner", "mark"]
+    base = given.withColumn("base", F.concat(*(base_spans(F.col("text"), k) for k in KINDS))).drop("text")
     rows = materialise(contexts(given))
-    found = bootstrap(rows)
-    hits = rows.join(found, "token").groupBy(*key).agg(
-        F.collect_set(F.struct("place", "token", "kind")).alias("hits")
-    )
-    words = F.split("text", BREAK, -1)
-    texts = given.select(*key, "text").join(hits, key).dropDuplicates(key).withColumn("words", words)
-
-    def span(hit: Column) -> Column:
-        before = F.aggregate(F.slice("words", F.lit(1), hit["place"]), F.lit(0), lambda s, w: s + F.length(w) + 1)
-        word = F.get("words", hit["place"])
-        start = before + F.length(word) - F.length(F.regexp_replace(word, HEAD, ""))
-        return F.struct(hit["kind"].alias("kind"), start.alias("start"), (start + F.length(hit["token"])).alias("end"))
-
-    added = texts.select(*key, F.transform("hits", span).cast(SPAN).alias("added"))
+    end = (F.col("start") + F.length("token")).alias("end")
+    hits = rows.join(bootstrap(rows), "token").select("owner", "no_owner", "mark", F.struct("kind", "start", end).alias("s"))
+    key = ["owner", "no_owner", "mark"]
+    added = hits.groupBy(*key).agg(F.collect_set("s").cast(SPAN).alias("added"))
     free = F.filter(
         "added", lambda a: ~F.exists("base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"]))
     )
     spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", free)))
-    return base.drop("text").join(added, key, "left").select("id", "base", spans.alias("spans"))
+    return base.join(added, key, "left").select("id", "base", spans.alias("spans"))
