@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from qaloom import fixed_values as fv
 from qaloom.functions.text import qa_text
-from qaloom.operators.ordered import SPAN, block_of, number_rows, with_neighbours
+from qaloom.operators.ordered import SPAN, number_rows, with_neighbours
 
 MEMORY = 5
 CONTEXT = 3
@@ -66,17 +66,12 @@ def chat_memory(exchanges: DataFrame, cap: int = MEMORY, k: int = CONTEXT) -> Da
     )
 
 
-def render_chat(
-    conversations: DataFrame, eos: str = fv.END_TOKEN, span: int = 10_000
-) -> DataFrame:
-    """Chat template per conversation: each message followed by the end token.
-
-    Long conversations come as several ``segment`` rows of ``span`` turns, whose
-    texts in order are the rendering.
-    """
-    pieces = F.array_sort(F.collect_list(F.struct("turn", F.concat("text", F.lit(eos)).alias("t"))))
+def render_chat(conversations: DataFrame, eos: str = fv.END_TOKEN) -> DataFrame:
+    """Chat template: one row per conversation, each message followed by the end token."""
+    message = F.concat(F.coalesce("text", F.lit("")), F.lit(eos))
+    pieces = F.array_sort(F.collect_list(F.struct("turn", message.alias("t"))))
     return (
-        conversations.groupBy("conv_id", block_of("turn", span).alias("segment"))
+        conversations.groupBy("conv_id")
         .agg(pieces.alias("_pieces"))
-        .select("conv_id", "segment", F.array_join(F.col("_pieces.t"), "").alias("rendered"))
+        .select("conv_id", F.array_join(F.col("_pieces.t"), "").alias("rendered"))
     )

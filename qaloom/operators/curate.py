@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from qaloom import fixed_values as fv
 from qaloom.functions.checks import valid_sample
 from qaloom.functions.text import as_column, is_qa, qa_text, whole_division, words
-from qaloom.operators.ordered import SPAN, with_neighbours
-from qaloom.operators.selection import SMALL, take_first
+from qaloom.operators.ordered import SPAN, number_rows, with_neighbours
+from qaloom.operators.selection import take_first
+from qaloom.session import materialise
 
 
 def text_digest(col: Column | str) -> Column:
@@ -22,24 +23,17 @@ def text_digest(col: Column | str) -> Column:
 def compose_qa(conversations: DataFrame, span: int = SPAN) -> DataFrame:
     """Every user turn directly followed by an assistant turn, as one marked text.
 
-    ``turn`` is the message's position in its conversation, so consecutive.
+    What follows is the next row of the conversation by ``turn``, whatever its number.
     """
-    w = Window.partitionBy("conv_id", "_block").orderBy("turn")
+    w = Window.partitionBy("conv_id", "_block").orderBy("_nth")
+    numbered = number_rows(
+        conversations.select("conv_id", "turn", "role", "text"), ["conv_id"], "turn", "_nth", span
+    )
     return (
-        with_neighbours(
-            conversations.where(F.col("role").isin("user", "assistant"))
-            .select("conv_id", "turn", "role", "text"),
-            "turn", ahead=1, span=span,
-        )
-        .withColumn("next_turn", F.lead("turn").over(w))
+        with_neighbours(numbered, "_nth", ahead=1, span=span)
         .withColumn("next_role", F.lead("role").over(w))
         .withColumn("next_text", F.lead("text").over(w))
-        .where(
-            F.col("_own")
-            & (F.col("role") == "user")
-            & (F.col("next_role") == "assistant")
-            & (F.col("next_turn") == F.col("turn") + 1)
-        )
+        .where(F.col("_own") & (F.col("role") == "user") & (F.col("next_role") == "assistant"))
         .select(
             "conv_id",
             "turn",
@@ -50,19 +44,29 @@ def compose_qa(conversations: DataFrame, span: int = SPAN) -> DataFrame:
     )
 
 
-def _firsts(
-    df: DataFrame,
-    key: Column | str,
-    order: Sequence[str],
-    by: Sequence[str] = (),
-    keep: Sequence[str] | None = None,
+def _place(digest: Column, order: Sequence[str], by: Sequence[str]) -> Column:
+    """A row's digest, group and order as one value, for which null equals null."""
+    names = [*by, *order]
+    return F.struct(digest.alias("digest"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
+
+
+def _first_places(
+    df: DataFrame, key: Column | str, order: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    whole = F.struct(*[F.col(c) for c in keep or df.columns])
-    return (
-        df.groupBy(*by, text_digest(key).alias("_digest"))
-        .agg(F.min_by(whole, F.struct(*[F.col(c) for c in order])).alias("_row"))
-        .select("_digest", "_row.*")
-    )
+    """``_digest``, ``by`` and ``order`` of the first row of each distinct text: no text is moved."""
+    if len(order) == 1 and order[0] not in by:
+        # one column of fixed width can be kept in a hash table
+        least = F.min(F.col(f"`{order[0]}`")).alias(order[0])
+        return df.groupBy(*by, text_digest(key).alias("_digest")).agg(least)
+    at = F.min(F.struct(*(F.col(f"`{c}`") for c in order))).alias("_at")
+    firsts = df.groupBy(*by, text_digest(key).alias("_digest")).agg(at)
+    return firsts.select("_digest", *by, *(F.col(f"_at.`{c}`").alias(c) for c in order if c not in by))
+
+
+def _rows_at(df: DataFrame, places: DataFrame, key: Column | str, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``df`` at the given places: the only step that moves whole rows."""
+    wanted = places.select(_place(F.col("_digest"), order, by).alias("_place"))
+    return df.withColumn("_place", _place(text_digest(key), order, by)).join(wanted, "_place", "left_semi").drop("_place")
 
 
 def dedup_first(
@@ -74,11 +78,16 @@ def dedup_first(
 ) -> DataFrame:
     """Keep the first row by ``order`` of each distinct ``key`` text (inside ``by``).
 
-    Copies are combined before the shuffle, so a text that makes up a third of
-    the table sends one row per task. ``keep`` names the columns to carry; without
-    the text among them only digests are shuffled.
+    ``order`` is unique. Copies are combined before the shuffle as a digest and the
+    lowest order, so a text that makes up a third of the table sends one short row per task, and
+    whole rows move once, to those places. ``keep`` names the columns to carry; if they
+    are order or group columns, no row is fetched at all.
     """
-    return _firsts(df, key, order, by, keep).drop("_digest")
+    places = _first_places(df, key, order, by)
+    if keep is not None and set(keep) <= {*order, *by}:
+        return places.select(*keep)
+    kept = _rows_at(df, places, key, order, by)
+    return kept if keep is None else kept.select(*keep)
 
 
 def new_only(
@@ -90,10 +99,11 @@ def new_only(
 ) -> DataFrame:
     """First rows of the texts that the existing table does not hold.
 
-    Both sides are reduced to one row per digest before they meet.
+    Both sides are reduced to one digest per text before they meet.
     """
     known = existing.select(text_digest(existing_key or key).alias("_digest")).distinct()
-    return _firsts(df, key, order).join(known, "_digest", "left_anti").drop("_digest")
+    places = _first_places(df, key, order).join(known, "_digest", "left_anti")
+    return _rows_at(df, places, key, order)
 
 
 def fan_out(
@@ -119,21 +129,20 @@ def accept(
     order: Sequence[str],
     text: str = "response",
     by: Sequence[str] = (),
-    small: int = SMALL,
+    span: int = SPAN,
 ) -> DataFrame:
     """First ``max_examples`` candidates that are well formed and new, in generation order.
 
-    With ``by`` the cap and the de-duplication hold per run.
+    With ``by`` the cap and the de-duplication hold per run. Places are found and
+    capped first, for any cap and however large a run; whole rows move once, to them.
     """
-    firsts = dedup_first(candidates.where(is_qa(text)), text, order, by)
+    formed = candidates.where(is_qa(text))
+    places = materialise(_first_places(formed, text, order, by))
     if not by:
-        return take_first(firsts, order, max_examples, small)
-    w = Window.partitionBy(*by).orderBy(*order)
-    return (
-        firsts.withColumn("_rank", F.row_number().over(w))
-        .where(F.col("_rank") <= max_examples)
-        .drop("_rank")
-    )
+        return _rows_at(formed, take_first(places, order, max_examples), text, order)
+    inside = [c for c in order if c not in by] or list(order)
+    numbered = number_rows(places, by, inside, "_rank", span)
+    return _rows_at(formed, numbered.where(F.col("_rank") <= max_examples).drop("_rank"), text, order, by)
 
 
 def attainment(df: DataFrame, target: int) -> DataFrame:
@@ -194,21 +203,13 @@ def trim_quantiles(
 
 def describe_by_split(df: DataFrame, length: str = "length", valid: str = "is_valid") -> DataFrame:
     """Per split: count, sum and mean of validity; mean, median and sample std of length."""
-    n, x = F.col("n"), F.col(length).cast("double")
-    hist = df.groupBy("split", length).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(valid)).alias("valid")
-    )
-    mean = F.sum(x * n) / F.sum(n)
-    spread = F.sum(x * x * n) - F.sum(x * n) * F.sum(x * n) / F.sum(n)
-    return hist.groupBy("split").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum("valid").alias("n_valid"),
-        (F.sum("valid") / F.sum("n")).alias("valid_mean"),
-        mean.alias("length_mean"),
-        F.percentile(length, 0.5, n).alias("length_median"),
-        F.when(F.sum("n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (F.sum("n") - 1))).alias(
-            "length_std"
-        ),
+    return df.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(valid)).alias("n_valid"),
+        (F.count_if(F.col(valid)) / F.count(F.lit(1))).alias("valid_mean"),
+        F.avg(length).alias("length_mean"),
+        F.percentile(length, 0.5).alias("length_median"),
+        F.stddev_samp(length).alias("length_std"),
     )
 
 

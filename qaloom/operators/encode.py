@@ -1,20 +1,22 @@
 """Fixed-length integer rows from text, with a vocabulary learned from the corpus.
 
-The vocabulary has at most ``size`` words, so it travels to every task as one
-value and rows are encoded where they are: no join, no shuffle. It is laid out
-as a table of small maps addressed by the word's hash, because a lookup in one
-large Spark map is a linear scan.
+Words meet their ids in a join, for a vocabulary of any size: Spark broadcasts a
+small one after looking at its size, and splits the partitions of frequent words
+where it does not.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaloom import fixed_values as fv
 from qaloom.functions.text import as_column, words
+from qaloom.operators.ordered import number_all
+from qaloom.session import materialise
 
-VALUE_LIMIT = 200_000
 _KEYS = ("input_ids", "attention_mask", "labels")
 
 
@@ -23,40 +25,19 @@ def tokens(col: Column | str, eos: str = fv.END_TOKEN, first: int | None = None)
     return words(F.replace(as_column(col), F.lit(eos), F.lit(f" {eos} ")), first)
 
 
-def learn_vocab(df: DataFrame, size: int, text: str = "text", eos: str = fv.END_TOKEN) -> DataFrame:
-    """``token, n, token_id``: the most frequent words, ids from 1, ties by word."""
-    # at most `size` rows reach this window
-    rank = Window.orderBy(F.desc("n"), F.asc("token"))
-    return (
+def learn_vocab(df: DataFrame, size: int | None, text: str = "text", eos: str = fv.END_TOKEN) -> DataFrame:
+    """``token, n, token_id``: the most frequent words, ids from 1, ties by word; all words without ``size``.
+
+    Written as a table, so that it is learned once however often it is joined.
+    """
+    counts = (
         df.select(F.explode(tokens(text, eos)).alias("token"))
         .where(F.col("token") != eos)
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), F.asc("token"))
-        .limit(size)
-        .withColumn("token_id", F.row_number().over(rank))
-    )
-
-
-def _slot(token: Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(slots)).cast("int")
-
-
-def _lookup(vocab: DataFrame, slots: int) -> Column:
-    """``array<map<token, id>>``, one map per slot, as a scalar."""
-    entry = F.struct(F.col("token"), F.col("token_id"))
-    filled = vocab.groupBy(_slot(F.col("token"), slots).alias("slot")).agg(
-        F.collect_list(entry).alias("entries")
-    )
-    all_slots = vocab.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
-    listed = F.array_sort(F.collect_list(F.struct("slot", "entries")))
-    return (
-        all_slots.join(filled, "slot", "left")
-        .withColumn("entries", F.coalesce("entries", F.array().cast("array<struct<token:string,token_id:int>>")))
-        .agg(listed.alias("v"))
-        .select(F.transform("v", lambda x: F.map_from_entries(x["entries"])))
-        .scalar()
     )
+    ranked = number_all(counts, [F.desc("n"), F.asc("token")], "token_id")
+    return ranked if size is None else materialise(ranked.where(F.col("token_id") <= size))
 
 
 def _padded(ids: Column, max_length: int, pad_id: int, multiple: int = 1) -> list[Column]:
@@ -70,113 +51,92 @@ def _padded(ids: Column, max_length: int, pad_id: int, multiple: int = 1) -> lis
     return [row.alias("input_ids"), seen.alias("attention_mask"), row.alias("labels")]
 
 
-def encode(
+def token_ids(
     df: DataFrame,
     vocab: DataFrame,
-    max_length: int,
+    ids: Sequence[str],
     text: str = "text",
-    vocab_size: int = VALUE_LIMIT,
+    max_length: int | None = None,
     eos: str = fv.END_TOKEN,
     eos_id: int = fv.END_TOKEN_ID,
     unknown_id: int = fv.UNKNOWN_ID,
-    multiple: int = 8,
 ) -> DataFrame:
-    """Adds ``input_ids``, ``attention_mask`` and ``labels``; drops the text.
+    """``ids`` and ``token_ids``: the ids of a text's words, of its first ``max_length`` if given.
 
-    ``vocab_size`` is the bound the vocabulary was learned with. Beyond
-    ``VALUE_LIMIT`` use :func:`encode_by_join`.
+    ``ids`` are unique together. The left side of the join is the words, so a word that is
+    a twentieth of all words is a skewed partition that Spark splits by its size.
     """
-    if vocab_size > VALUE_LIMIT:
-        raise ValueError(f"a vocabulary above {VALUE_LIMIT} words needs encode_by_join")
-    slots = max(1, vocab_size // 4)
-    table = _lookup(vocab.select("token", "token_id"), slots)
-    head = tokens(text, eos, max_length)
-
-    def to_id(t: Column) -> Column:
-        known = F.try_element_at(F.col("_vocab")[_slot(t, slots)], t)
-        return F.when(t == eos, eos_id).otherwise(F.coalesce(known, F.lit(unknown_id)))
-
+    occurrences = df.select(*ids, F.posexplode_outer(tokens(text, eos, max_length)).alias("pos", "token"))
+    token_id = F.when(F.col("token") == eos, eos_id).otherwise(
+        F.coalesce(F.col("token_id").cast("int"), F.lit(unknown_id))
+    )
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", token_id.alias("id")))
     return (
-        df.withColumn("_vocab", table)
-        .withColumn("_ids", F.transform(head, to_id))
-        .drop("_vocab", text)
-        .select("*", *_padded(F.col("_ids"), max_length, eos_id, multiple))
-        .drop("_ids")
+        occurrences.join(vocab.select("token", "token_id"), "token", "left")
+        .groupBy(*ids)
+        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        .select(*ids, F.col("_entries.id").alias("token_ids"))
     )
 
 
-def encode_by_join(
+def encode(
     df: DataFrame,
     vocab: DataFrame,
     max_length: int,
-    ids: list[str],
+    ids: Sequence[str] | None = None,
     text: str = "text",
     eos: str = fv.END_TOKEN,
     eos_id: int = fv.END_TOKEN_ID,
     unknown_id: int = fv.UNKNOWN_ID,
     multiple: int = 8,
 ) -> DataFrame:
-    """As :func:`encode`, for a vocabulary of any size: words meet ids in a join.
+    """``ids``, ``input_ids``, ``attention_mask`` and ``labels`` of every row.
 
-    A frequent word is joined once per distinct word and task group: its
-    occurrences are salted over the vocabulary copies.
+    ``ids`` are columns that are unique together, by default all but the text.
     """
-    salts = 16
-    head = tokens(text, eos, max_length)
-    occurrences = (
-        df.select(*ids, F.posexplode_outer(head).alias("pos", "token"))
-        .withColumn("_salt", F.pmod(F.xxhash64(*ids, "pos"), F.lit(salts)))
-    )
-    copies = vocab.select("token", "token_id").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    token_id = F.when(F.col("token") == eos, eos_id).otherwise(
-        F.coalesce("token_id", F.lit(unknown_id))
-    )
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", token_id.alias("id")))
-    return (
-        occurrences.join(copies, ["token", "_salt"], "left")
-        .groupBy(*ids)
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        .select(
-            *ids,
-            *_padded(F.col("_entries.id"), max_length, eos_id, multiple),
-        )
-    )
+    ids = [c for c in df.columns if c != text] if ids is None else list(ids)
+    encoded = token_ids(df, vocab, ids, text, max_length, eos, eos_id, unknown_id)
+    return encoded.select(*ids, *_padded(F.col("token_ids"), max_length, eos_id, multiple))
+
+
+def encode_by_join(df: DataFrame, vocab: DataFrame, max_length: int, ids: Sequence[str], **settings) -> DataFrame:
+    """:func:`encode`, which joins for any vocabulary."""
+    return encode(df, vocab, max_length, ids, **settings)
 
 
 def decode(
     df: DataFrame,
     vocab: DataFrame,
-    ids: str = "input_ids",
+    ids: Sequence[str] = ("doc_id",),
+    encoded: str = "input_ids",
     unknown: str = "<unk>",
     eos_id: int = fv.END_TOKEN_ID,
 ) -> DataFrame:
-    """Adds ``decoded``: words joined by spaces, special ids skipped."""
-    listed = F.array_sort(F.collect_list(F.struct("token_id", "token")))
-    names = vocab.agg(listed.alias("v")).select(F.col("v.token")).scalar()
-    kept = F.filter(F.col(ids), lambda i: i != eos_id)
-    word = F.transform(kept, lambda i: F.when(i > 0, F.get(F.col("_names"), i - 1)).otherwise(unknown))
+    """``ids`` and ``decoded``: words joined by spaces, special ids skipped."""
+    kept = F.filter(F.col(encoded), lambda i: i != eos_id)
+    places = df.select(*ids, F.posexplode_outer(kept).alias("pos", "token_id"))
+    word = F.struct("pos", F.coalesce("token", F.lit(unknown)).alias("word"))
     return (
-        df.withColumn("_names", names)
-        .withColumn("decoded", F.array_join(word, " "))
-        .drop("_names")
+        places.join(vocab.select("token_id", "token"), "token_id", "left")
+        .groupBy(*ids)
+        .agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), word))).alias("_words"))
+        .select(*ids, F.array_join(F.col("_words.word"), " ").alias("decoded"))
     )
 
 
 def check_round_trip(
     df: DataFrame,
     vocab: DataFrame,
-    max_length: int,
+    ids: Sequence[str] = ("doc_id",),
     text: str = "text",
-    vocab_size: int = VALUE_LIMIT,
     eos: str = fv.END_TOKEN,
 ) -> DataFrame:
-    """One row: vocabulary size, rows, and rows whose words come back from their ids."""
-    kept = F.filter(tokens(text, eos, max_length), lambda w: w != eos)
-    asked = df.withColumn("_asked", F.array_join(kept, " "))
-    back = decode(encode(asked, vocab, max_length, text, vocab_size, eos), vocab)
-    return back.agg(
+    """One row: vocabulary size, rows, and rows all of whose words come back from their ids."""
+    asked = df.select(
+        *ids, F.array_join(F.filter(tokens(text, eos), lambda w: w != eos), " ").alias("_asked")
+    )
+    back = decode(token_ids(df, vocab, ids, text, None, eos), vocab, ids, "token_ids")
+    return asked.join(back, list(ids)).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("decoded") == F.col("_asked")).alias("n_exact"),
     ).withColumn("vocab_size", vocab.agg(F.count(F.lit(1))).scalar())

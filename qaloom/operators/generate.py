@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +14,7 @@ from qaloom import fixed_values as fv
 from qaloom.functions.checks import Rules, quality_flags
 from qaloom.functions.text import build_prompt, clean_technical, is_qa, retry_prompt
 from qaloom.operators.curate import accept, fan_out
-from qaloom.operators.selection import SMALL, after, nth_key, up_to
+from qaloom.operators.selection import after, nth, ranked_keys, up_to
 from qaloom.session import materialise
 
 Generator = Callable[[str], str]
@@ -40,25 +40,24 @@ def generate(
             error, F.lit(None).cast("string")
         )
 
-    def call(text: str | None) -> tuple[str | None, str | None]:
+    def call(text: str | None) -> dict[str, str | None]:
         if text is None:
-            return None, None
+            return {"text": None, "error": None}
         try:
-            return generator(text), None
+            return {"text": generator(text), "error": None}
         except Exception as e:  # the row records it
-            return ERROR_TEXT.format(error=e), str(e)
+            return {"text": ERROR_TEXT.format(error=e), "error": str(e)}
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            pairs = [call(None if pd.isna(p) else p) for p in frame[prompt]]
-            frame[out] = [r for r, _ in pairs]
-            frame[error] = [e for _, e in pairs]
-            yield frame
+    kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
+    answer = pa.struct([("text", pa.string()), ("error", pa.string())])
 
-    schema = T.StructType(
-        [*df.schema.fields, T.StructField(out, T.StringType()), T.StructField(error, T.StringType())]
-    )
-    return df.mapInPandas(batches, schema)
+    @F.arrow_udf(returnType=kind)
+    def ask(prompts: pa.Array) -> pa.Array:
+        return pa.array([call(p) for p in prompts.to_pylist()], answer)
+
+    # the prompt alone goes to Python, once per row
+    asked = df.withColumn("_answer", ask.asNondeterministic()(F.col(prompt)))
+    return asked.select(*df.columns, F.col("_answer.text").alias(out), F.col("_answer.error").alias(error))
 
 
 def generate_with_retry(
@@ -74,14 +73,27 @@ def generate_with_retry(
     Only well-formed flagged answers are retried; the second answer replaces the
     first even if it is worse. ``partitions`` spreads slow calls over tasks.
     """
-    spread = df if partitions is None else df.repartition(partitions)
-    first = generate(spread, generator, prompt, "first", native)
-    gated = first.withColumn("flags", quality_flags("first", "gate", rules))
+    dealt = df if partitions is None else df.repartition(partitions)
+    first = generate(dealt, generator, prompt, "first", native)
+    if native:
+        gated = first.withColumn("flags", quality_flags("first", "gate", rules))
+        retried = F.size("flags") > 0
+        asked = gated.withColumn("_retry", F.when(retried, retry_prompt(prompt, "flags")))
+        return _final(generate(asked, generator, "_retry", "second", native), retried)
+    # first answers are written, so that no call is repeated for the sake of the second
+    gated = materialise(first).withColumn("flags", quality_flags("first", "gate", rules))
     retried = F.size("flags") > 0
-    asked = gated.withColumn("_retry", F.when(retried, retry_prompt(prompt, "flags")))
-    second = generate(asked, generator, "_retry", "second", native)
+    asked = gated.where(retried).withColumn("_retry", retry_prompt(prompt, "flags"))
+    none = F.lit(None).cast("string")
+    rest = gated.where(~retried | retried.isNull()).select(
+        "*", none.alias("_retry"), none.alias("second"), none.alias("second_error")
+    )
+    return _final(generate(asked, generator, "_retry", "second").unionByName(rest), retried)
+
+
+def _final(answered: DataFrame, retried: Column) -> DataFrame:
     return (
-        second.withColumn("retried", retried)
+        answered.withColumn("retried", retried)
         .withColumn("response", clean_technical(F.when(retried, F.col("second")).otherwise(F.col("first"))))
         .withColumn("error", F.when(retried, F.col("second_error")).otherwise(F.col("first_error")))
         .drop("_retry", "first", "first_error", "second", "second_error")
@@ -109,33 +121,32 @@ def generate_until(
     native: bool = False,
     partitions: int | None = None,
     factor: float = 1.5,
-    rounds: int = 5,
-    small: int = SMALL,
 ) -> DataFrame:
     """Accepted samples, without calling the generator far beyond the cap.
 
     Candidates are taken in generation order, in rounds sized by what is still
-    missing; the last round takes all that is left. The result is the same as
-    generating everything and accepting the first ``max_examples``.
+    missing, until the cap is met or no candidate is left. The result is the same as
+    generating everything and accepting the first ``max_examples``. The candidates'
+    keys are sorted once; a round reads the rows between two keys.
     """
-    made = key = None
+    ranked = ranked_keys(candidates.select(*order), order)
+    total = ranked.count()
+    made = last = None
     missing, taken = max_examples, 0
-    for turn in range(rounds):
-        rest = candidates if key is None else candidates.where(after(order, key))
-        key = None
-        if turn < rounds - 1:
-            # the share accepted so far says how many candidates the rest will need
-            share = max(max_examples - missing, 1) / taken if taken else 1.0
-            size = math.ceil(missing / share * factor)
-            key, taken = nth_key(rest, order, size, small), taken + size
-        batch = rest if key is None else rest.where(up_to(order, key))
+    while True:
+        # the share accepted so far says how many candidates the rest will need
+        share = max(max_examples - missing, 1) / taken if taken else 1.0
+        taken = min(total, taken + max(1, math.ceil(missing / share * factor)))
+        batch = candidates if last is None else candidates.where(after(candidates, order, last))
+        if taken < total:
+            last = tuple(nth(ranked, taken)["key"])[:-1]
+            batch = batch.where(up_to(candidates, order, last))
         answered = generate_with_retry(batch, generator, rules, "prompt", native, partitions)
         # a generator may answer differently when asked again; the format check comes
         # after the write, since a filter before it would evaluate the cleaning twice
         kept = materialise(answered).where(is_qa("response"))
         made = kept if made is None else made.unionByName(kept)
-        accepted = accept(made, max_examples, order, small=small)
+        accepted = accept(made, max_examples, order)
         missing = max_examples - accepted.count()
-        if missing <= 0 or key is None:
-            break
-    return accepted
+        if missing <= 0 or taken >= total:
+            return accepted

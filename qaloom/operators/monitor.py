@@ -2,7 +2,7 @@
 
 The monitor is a state machine over a run's events in step order. Its state
 between two events is small (an event count, the last good loss, a counter), so
-a run is cut into blocks of steps, each block is summarised, and the state at
+a large run is cut into blocks of events, each block is summarised, and the state at
 the start of a block comes from the summaries of the blocks before it. A run
 with a third of all events is thus spread over many tasks.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qaloom.operators.ordered import SPAN, block_of, number_rows, with_neighbours
+from qaloom.operators.ordered import SPAN, key_of, number_rows, with_blocks, with_neighbours
 
 PATIENCE = 3
 HISTORY_BEFORE_ZERO_STOP = 10
@@ -28,22 +28,22 @@ def _ok(loss: Column) -> Column:
     return ~not_finite(loss) & (loss != 0)
 
 
-def _in_block(run: str) -> Window:
-    return Window.partitionBy(run, "_block").orderBy("step")
+def _in_block() -> Window:
+    return Window.partitionBy("_key", "_block").orderBy("step")
 
 
-def _with_history(events: DataFrame, run: str) -> DataFrame:
+def _with_history(events: DataFrame) -> DataFrame:
     """Adds the event's number in its run and the last good loss before it."""
-    before_row = _in_block(run).rowsBetween(Window.unboundedPreceding, -1)
+    before_row = _in_block().rowsBetween(Window.unboundedPreceding, -1)
     before_block = (
-        Window.partitionBy(run).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
     good_step = F.when(_ok(F.col("loss")), F.col("step"))
     blocks = (
-        events.groupBy(run, "_block")
+        events.groupBy("_key", "_block")
         .agg(F.count(F.lit(1)).alias("_n"), F.max_by("loss", good_step).alias("_last"))
         .select(
-            run,
+            "_key",
             "_block",
             F.coalesce(F.sum("_n").over(before_block), F.lit(0)).alias("_n_before"),
             F.last("_last", ignorenulls=True).over(before_block).alias("_last_before"),
@@ -54,10 +54,10 @@ def _with_history(events: DataFrame, run: str) -> DataFrame:
         events.withColumn("_loss_good", good)
         .select(
             "*",
-            F.row_number().over(_in_block(run)).alias("_n_here"),
+            F.row_number().over(_in_block()).alias("_n_here"),
             F.last("_loss_good", ignorenulls=True).over(before_row).alias("_last_here"),
         )
-        .join(blocks, [run, "_block"])
+        .join(blocks, ["_key", "_block"])
         .withColumn("n_seen", F.col("_n_before") + F.col("_n_here"))
         .withColumn("last_loss", F.coalesce("_last_here", "_last_before"))
         .drop("_loss_good", "_n_before", "_n_here", "_last_here", "_last_before")
@@ -75,8 +75,8 @@ def health(
     ``stop_grad``, a ``warn_...`` or ``ok``.
     """
     loss, grad, step = F.col("loss"), F.col("grad_norm"), F.col("step")
-    so_far = _in_block(run).rowsBetween(Window.unboundedPreceding, 0)
-    before_row = _in_block(run).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = _in_block().rowsBetween(Window.unboundedPreceding, 0)
+    before_row = _in_block().rowsBetween(Window.unboundedPreceding, -1)
     bad = not_finite(loss)
     collapsed = (loss == 0) & (F.col("n_seen") > HISTORY_BEFORE_ZERO_STOP)
     # a NaN loss compares as larger than any number, so `bad` is tested first
@@ -87,15 +87,13 @@ def health(
     loss_sign = F.when(bad, "nan").when(collapsed, "zero").when(exploded, "explode")
     signs = (bad | exploded).cast("bigint") + bad_grad.cast("bigint")
 
-    seen = (
-        events.select(run, "step", "loss", "grad_norm")
-        .where(loss.isNotNull())
-        .withColumn("_block", block_of("step", span))
+    seen = with_blocks(
+        events.select(run, "step", "loss", "grad_norm").where(loss.isNotNull()), [run], "step", span
     )
     # _here counts the bad signs since the last good event of the block; where the
     # block has had none (_open), those carried in from earlier blocks come on top
     marked = (
-        _with_history(seen, run)
+        _with_history(seen)
         .withColumn("_sign", loss_sign)
         .withColumn("_signs", signs)
         .withColumn("_sum", F.sum("_signs").over(so_far))
@@ -118,25 +116,25 @@ def health(
 
     # a run that goes on enters a block with fewer than `patience` signs, so the
     # block's first stop is looked up for each of these counts
-    by_block = Window.partitionBy(run).orderBy("_block")
+    by_block = Window.partitionBy("_key").orderBy("_block")
     stop_if = [
         F.min(F.when(stop_at(counted(F.lit(c))).isNotNull(), step)) for c in range(patience)
     ]
     good_step = F.when(_ok(loss), step)
     blocks = (
-        marked.groupBy(run, "_block")
+        marked.groupBy("_key", "_block")
         .agg(
             F.max(_ok(loss).cast("int")).alias("_good"),
             (F.max("_sum") - F.coalesce(F.max_by("_sum", good_step), F.lit(0))).alias("_tail"),
             F.array(*stop_if).alias("_stop_if"),
         )
         .withColumn("_era", F.sum("_good").over(by_block))
-        .withColumn("_left", F.sum("_tail").over(Window.partitionBy(run, "_era").orderBy("_block")))
+        .withColumn("_left", F.sum("_tail").over(Window.partitionBy("_key", "_era").orderBy("_block")))
         .withColumn("_carry", F.lag("_left", 1, 0).over(by_block))
         .withColumn("_stop", F.get("_stop_if", F.least("_carry", F.lit(patience - 1)).cast("int")))
         .select(
-            run, "_block", "_carry",
-            F.min("_stop").over(Window.partitionBy(run)).alias("_stop_step"),
+            "_key", "_block", "_carry",
+            F.min("_stop").over(Window.partitionBy("_key")).alias("_stop_step"),
         )
     )
     count = counted(F.col("_carry"))
@@ -146,7 +144,7 @@ def health(
         .when(bad_grad, "warn_grad_nan")
         .when(F.coalesce(grad > GRADIENT_WARNING, F.lit(False)), "warn_grad_high")
     )
-    return marked.join(blocks, [run, "_block"]).select(
+    return marked.join(blocks, ["_key", "_block"]).select(
         run,
         "step",
         "loss",
@@ -180,21 +178,34 @@ def health_verdict(checked: DataFrame, run: str = "run_id") -> DataFrame:
 
 
 def rolling_loss(
-    events: DataFrame, n: int = 10, every: int = 10, run: str = "run_id", span: int = SPAN
+    events: DataFrame,
+    n: int = 10,
+    every: int = 10,
+    run: str = "run_id",
+    span: int = SPAN,
+    patience: int = PATIENCE,
 ) -> DataFrame:
     """Mean of the last ``n`` losses, at healthy events whose step is a multiple of ``every``.
 
-    A NaN in the frame makes the mean NaN.
+    Only events the monitor passes have one: not the one that stops the run, and none
+    after it. A NaN in the frame makes the mean NaN.
     """
     losses = events.select(run, "step", "loss").where(F.col("loss").isNotNull())
     numbered = number_rows(losses, [run], "step", "_nth", span)
     frame = Window.partitionBy(run, "_block").orderBy("_nth").rowsBetween(1 - n, 0)
     healthy = _ok(F.col("loss")) & (F.col("step") > 0) & (F.col("step") % every == 0)
+    status = F.col("status")
+    event = key_of([run, "step"]).alias("_event")
+    passed = health(events, patience, run, span).where(
+        (status != "after_stop") & ~status.startswith("stop_")
+    )
     return (
         with_neighbours(numbered, "_nth", back=n - 1, span=span)
         .withColumn("avg_loss", F.avg("loss").over(frame))
         .where(F.col("_own") & healthy)
-        .select(run, "step", "avg_loss")
+        .select(run, "step", "avg_loss", event)
+        .join(passed.select(event), "_event", "left_semi")
+        .drop("_event")
     )
 
 

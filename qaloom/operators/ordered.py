@@ -1,9 +1,9 @@
 """Ordered work inside a key, for keys of any size.
 
 A window partitioned by the key alone would put a key with a third of all rows
-into one task. Here a key is cut into blocks of its integer order column:
-``(key, order)`` is unique, so a block holds at most ``span`` rows, and what
-crosses a block's edge travels as one summary row per block.
+into one task. Here a large key is cut into blocks of about equally many rows, and
+what crosses a block's edge travels as one summary row per block. Keys are compared
+as structs, for which null equals null, so no row is lost.
 """
 
 from __future__ import annotations
@@ -14,36 +14,89 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qaloom.functions.text import as_column, whole_division
+from qaloom.session import materialise
 
 SPAN = 100_000
+CUTS = 1_000
 
 
-def block_of(order: Column | str, span: int = SPAN) -> Column:
-    return whole_division(as_column(order), span)
+def block_of(position: Column | str, span: int = SPAN) -> Column:
+    return whole_division(as_column(position), span)
+
+
+def key_of(keys: Sequence[str]) -> Column:
+    return F.struct(*(F.col(f"`{c}`") for c in keys))
+
+
+def with_blocks(df: DataFrame, keys: Sequence[str], order: str, span: int = SPAN) -> DataFrame:
+    """Add ``_key`` and ``_block``: a key of over ``span`` rows is cut by its order's quantiles.
+
+    A block holds about ``span`` rows, or a ``CUTS``-th of the key if that is more.
+    Equal order values share a block, and null ones are in the first. Order columns
+    are numbers, dates or timestamps.
+    """
+    rows = df.withColumn("_key", key_of(keys))
+    large = materialise(rows.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > span))
+    shares = [i / CUTS for i in range(1, CUTS)]
+    cuts = materialise(
+        rows.select("_key", F.col(f"`{order}`").alias("o")).join(large, "_key").groupBy("_key", "_n").agg(
+            F.percentile_approx("o", shares, CUTS * 10).alias("c")
+        ).select("_key", F.filter("c", lambda x, i: (i + 1) % F.greatest(F.lit(1), F.floor(F.lit(CUTS * span) / F.col("_n"))) == 0).alias("_cuts"))
+    )
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(f"`{order}`")))
+    return rows.join(cuts, "_key", "left").withColumn(
+        "_block", F.when(F.col("_cuts").isNull() | F.col(f"`{order}`").isNull(), 0).otherwise(below)
+    ).drop("_cuts")
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, span: int = SPAN
+    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], out: str, span: int = SPAN
 ) -> DataFrame:
     """Add ``out``: position of the row in its key by ``order``, from 1.
 
-    One row shuffle, by (key, block); the counts of earlier blocks come from a
+    Of several order columns the first is what large keys are cut by.
+
+    Null keys are keys, a null order value comes first, and ties go by a hash of the
+    row. One row shuffle, by (key, block); the counts of earlier blocks come from a
     table with one row per block.
     """
-    keys = list(keys)
-    blocked = df.withColumn("_block", block_of(order, span))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    order = [order] if isinstance(order, str) else list(order)
+    blocked = with_blocks(df, keys, order[0], span)
+    before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        blocked.groupBy(*keys, "_block")
+        blocked.groupBy("_key", "_block")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .select("_key", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    in_block = Window.partitionBy(*keys, "_block").orderBy(order)
+    tie = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+    in_block = Window.partitionBy("_key", "_block").orderBy(*order, tie)
     return (
         blocked.withColumn("_rank", F.row_number().over(in_block))
-        .join(offsets, [*keys, "_block"])
+        .join(offsets, ["_key", "_block"])
         .withColumn(out, F.col("_before") + F.col("_rank"))
-        .drop("_block", "_rank", "_before")
+        .drop("_key", "_block", "_rank", "_before")
+    )
+
+
+def number_all(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """``df`` with ``out``: the row's place in the whole table by ``order``, from 1, written as a table.
+
+    Rows are sorted range by range, and a range starts after the row counts of the
+    ranges before it, of which there are as many as shuffle partitions.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    in_order = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = materialise(in_order.withColumn("_id", F.monotonically_increasing_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.shiftright("_id", 33).alias("_part")
+    ranges = placed.groupBy(part).agg(F.count("*").alias("_n"))
+    starts = ranges.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .withColumn(out, F.col("_before") + F.col("_id") - F.shiftleft("_part", 33) + 1)
+        .drop("_id", "_part", "_before")
     )
 
 

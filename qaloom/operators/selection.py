@@ -1,8 +1,8 @@
-"""First n rows of a table by integer columns, for any n.
+"""First n rows of a table by any columns, for any n, and exact splits.
 
-``orderBy().limit(n)`` keeps n rows in one task, which is right for a report
-and wrong for a fifth of a large table. Beyond ``SMALL`` rows the key of the
-n-th row is found by counting, and the rows are then kept by comparing keys.
+``orderBy().limit(n)`` keeps n rows in one task, which is wrong for a fifth of a
+large table. Here the keys alone are sorted, range by range; the key of the n-th
+row comes from the ranges' row counts, and rows are then kept by comparing keys.
 """
 
 from __future__ import annotations
@@ -10,93 +10,102 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from qaloom.functions.text import whole_division
+from qaloom.session import materialise
 
-SMALL = 100_000
-CELLS = 65_536
+_RANGE_BITS = 33  # of monotonically_increasing_id, for the row in its partition
 
 
-def up_to(order: Sequence[str], key: Sequence[int]) -> Column:
-    """Rows whose order columns are at or before ``key``."""
-    *front, last = list(zip(order, key))
-    test = F.col(last[0]) <= last[1]
-    for name, value in reversed(front):
-        test = (F.col(name) < value) | ((F.col(name) == value) & test)
-    # said on its own, the bound of the first column reaches the scan
-    return (F.col(order[0]) <= key[0]) & test if front else test
+def _tie(df: DataFrame) -> Column:
+    """Orders rows whose order columns are equal: a hash of the whole row (maps aside)."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*(F.col(f"`{c}`") for c in plain))
 
 
-def after(order: Sequence[str], key: Sequence[int]) -> Column:
-    """Rows whose order columns come after ``key``."""
-    *front, last = list(zip(order, key))
-    test = F.col(last[0]) > last[1]
-    for name, value in reversed(front):
-        test = (F.col(name) > value) | ((F.col(name) == value) & test)
-    return (F.col(order[0]) >= key[0]) & test if front else test
+def _key(order: Sequence[str], tie: Column) -> Column:
+    """The whole order as one value; structs compare field by field, nulls first."""
+    return F.struct(*(F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)), tie.alias("tie"))
+
+
+def ranked_keys(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """A table ``key, id`` of ``df``'s keys, whose ids count up inside each range of keys.
 
+    Equal keys may lie in one range only, and ranges are about equally long, so no
+    key column can fill a task unless one key does.
+    """
+    keys = df.select(_key(order, _tie(df)).alias("key"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    in_order = keys.repartitionByRange(parts, "key").sortWithinPartitions("key")
+    return materialise(in_order.withColumn("id", F.monotonically_increasing_id()))
+
+
+def nth(ranked: DataFrame, n: int) -> Row | None:
+    """The n-th key of :func:`ranked_keys` (``key``), and how many rows come before its equals."""
+    if n < 1:
+        return None
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)  # one row per range
+    part = F.shiftright("id", _RANGE_BITS).alias("part")
+    ranges = ranked.groupBy(part).agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(upto))
+    hit = ranges.where(F.col("upto") >= n).orderBy("part").first()
+    if hit is None:
+        return None
+    at = (hit["part"] << _RANGE_BITS) + n - (hit["upto"] - hit["n"]) - 1
+    return ranked.where(F.col("id") == at).first()
+
+
+def nth_key(df: DataFrame, order: Sequence[str], n: int) -> tuple | None:
+    """Order columns of the n-th row, or None if there are fewer rows."""
+    found = nth(ranked_keys(df, order), n)
+    return None if found is None else tuple(found["key"])[:-1]
+
+
+def _bound(df: DataFrame, order: Sequence[str], key: Row | tuple) -> Column:
+    kinds = [*(df.schema[c].dataType for c in order), T.LongType()]
+    return F.struct(
+        *(F.lit(v).cast(k).alias(f"o{i}") for i, (v, k) in enumerate(zip(key, kinds[:-1]))),
+        *([F.lit(key[-1]).cast("long").alias("tie")] if len(key) > len(order) else []),
+    )
 
-def _last_of(rows: DataFrame, order: Sequence[str], n: int) -> tuple[int, ...] | None:
-    """Key of the n-th row when n is small: every task passes on at most n keys."""
-    head = rows.select(*order).orderBy(*order).limit(n)
-    last = F.max(F.struct(*order))
-    key, found = head.agg(last, F.count(F.lit(1))).first()
-    return tuple(key) if found == n and n else None
 
+def up_to(df: DataFrame, order: Sequence[str], key: tuple) -> Column:
+    """Rows whose order columns are at or before ``key``; nulls come first."""
+    return F.struct(*(F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order))) <= _bound(df, order, key)
 
-def nth_key(
-    df: DataFrame, order: Sequence[str], n: int, small: int = SMALL, cells: int = CELLS
-) -> tuple[int, ...] | None:
-    """Order columns of the n-th row, or None if there are fewer rows.
 
-    Each pass counts the remaining range in at most ``cells`` cells and goes on
-    in the one that holds the n-th row, until it has at most ``small`` rows.
-    Only that row's key reaches the driver.
+def after(df: DataFrame, order: Sequence[str], key: tuple) -> Column:
+    """Rows whose order columns come after ``key``."""
+    return ~up_to(df, order, key)
+
+
+def mark_first(df: DataFrame, order: Sequence[str], n: int, out: str, ranked: DataFrame | None = None) -> DataFrame:
+    """Add the boolean ``out``: whether a row is among the first ``n`` by ``order``.
+
+    The order is total for any column types: nulls come first, ties go by a hash of the
+    whole row, and of equal rows any are as good. Exactly ``min(n, rows)`` rows are
+    marked. ``df`` is read twice, so it must not vary.
     """
     order = list(order)
-    rows = df.select(*order)
-    if n <= small:
-        return _last_of(rows, order, n)
-    found: list[int] = []
-    left = n
-    for i, name in enumerate(order):
-        lo, hi = rows.agg(F.min(name), F.max(name)).first()
-        if lo is None:
-            return None
-        while lo < hi:
-            width = (hi - lo) // cells + 1
-            cell = whole_division(F.col(name) - F.lit(lo), width)
-            # at most `cells` rows reach this window
-            running = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-            hit = (
-                rows.groupBy(cell.alias("cell"))
-                .agg(F.count(F.lit(1)).alias("n"))
-                .withColumn("upto", F.sum("n").over(running))
-                .where(F.col("upto") >= left)
-                .orderBy("cell")
-                .first()
-            )
-            if hit is None:
-                return None
-            left -= hit["upto"] - hit["n"]
-            lo = lo + hit["cell"] * width
-            hi = min(hi, lo + width - 1)
-            rows = rows.where(F.col(name).between(lo, hi))
-            if hit["n"] <= small:
-                return (*found, *_last_of(rows, order[i:], left))
-        rows = rows.where(F.col(name) == lo)
-        found.append(lo)
-    return tuple(found)
-
-
-def take_first(df: DataFrame, order: Sequence[str], n: int, small: int = SMALL) -> DataFrame:
-    """The first ``n`` rows by ``order``, whose columns are integers, unique together."""
-    if n <= small:
-        return df.orderBy(*order).limit(n)
-    key = nth_key(df, order, n, small)
-    return df if key is None else df.where(up_to(order, key))
+    ranked = ranked_keys(df, order) if ranked is None else ranked
+    found = nth(ranked, n)
+    if found is None:
+        return df.withColumn(out, F.lit(n >= 1))
+    key, bound = _key(order, _tie(df)), _bound(df, order, found["key"])
+    before, same = ranked.agg(F.count_if(F.col("key") < bound), F.count_if(F.col("key") == bound)).first()
+    marked = df.withColumn(out, key <= bound)
+    if before + same == n:
+        return marked
+    # equal rows on both sides of the cut: one of them stands for all
+    copies = F.explode(F.transform(F.sequence(F.lit(1), F.lit(same)), lambda i: i <= n - before))
+    one = df.where(key == bound).limit(1)
+    return marked.where(key != bound).unionByName(one.withColumn(out, copies))
+
+
+def take_first(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows by ``order``, in the order of :func:`mark_first`."""
+    return mark_first(df, order, n, "_first").where("_first").drop("_first")
 
 
 def split_hash(ids: Sequence[str], seed: int = 42) -> Column:
@@ -105,30 +114,19 @@ def split_hash(ids: Sequence[str], seed: int = 42) -> Column:
     return F.conv(F.left(digest, F.lit(15)), 16, 10).cast("bigint")
 
 
-def split_exact(
-    df: DataFrame,
-    ids: Sequence[str],
-    test_fraction: float = 0.2,
-    seed: int = 42,
-    small: int = SMALL,
-) -> DataFrame:
+def split_exact(df: DataFrame, ids: Sequence[str], test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``split``: the ``ceil(fraction * n)`` rows with the lowest hash are the test part.
 
-    Sizes are exact and the choice depends on ids and seed only. The table is
-    scanned for its ids, never sorted or joined.
+    Sizes are exact, also over repeated or null ids, and the choice depends on ids and
+    seed (and the row, where ids repeat) only. Hashes and ids are sorted, not rows.
+    ``df`` must not vary between two runs; write it first if it may.
     """
     ids = list(ids)
-    hashed = df.select(split_hash(ids, seed).alias("_h"), *ids)
-    n_test = math.ceil(test_fraction * df.count())
-    if n_test == 0:
-        return df.withColumn("split", F.lit("train"))
-    key = nth_key(hashed, ["_h", *ids], n_test, small)
-    is_test = up_to(["_h", *ids], key)
-    return (
-        df.withColumn("_h", split_hash(ids, seed))
-        .withColumn("split", F.when(is_test, "test").otherwise("train"))
-        .drop("_h")
-    )
+    hashed = df.withColumn("_h", split_hash(ids, seed))
+    ranked = ranked_keys(hashed, ["_h", *ids])
+    n_test = math.ceil(test_fraction * ranked.count())
+    marked = mark_first(hashed, ["_h", *ids], n_test, "_test", ranked)
+    return marked.withColumn("split", F.when(F.col("_test"), "test").otherwise("train")).drop("_h", "_test")
 
 
 def split_by_hash(

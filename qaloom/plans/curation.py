@@ -12,9 +12,8 @@ from qaloom.plans.registry import query
 from qaloom.plans.relations import (
     PAIR_IDS, SQL_MIXED, SQL_PAGES, SQL_PAIRS, WS, big, sql_is_qa, sql_round, sql_strip, table,
 )
-from qaloom.session import work_path
+from qaloom.session import materialise, work_path
 from qaloom.sources import dataset
-from qaloom.sources.files import list_files
 from qaloom.sources.logs import read_training_log
 from qaloom.sources.pages import page_scan, page_summary
 
@@ -191,7 +190,7 @@ split AS (
 
 
 def split_pairs(spark, sf):
-    qa = R.pairs(spark, sf).select(*PAIR_IDS, "text")
+    qa = materialise(R.pairs(spark, sf).select(*PAIR_IDS, "text"))
     return selection.split_exact(qa, PAIR_IDS)
 
 
@@ -280,12 +279,6 @@ def _(spark, sf):
     )
 
 
-# the given table files themselves; their sizes are not known to SQL
-@query("list_files")
-def _(spark, sf):
-    return list_files(spark, sf)
-
-
 # --- statistics ----------------------------------------------------------------------------------
 
 

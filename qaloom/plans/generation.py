@@ -11,14 +11,14 @@ from qaloom.operators import curate, generate
 from qaloom.plans import jobs
 from qaloom.plans import relations as R
 from qaloom.plans.curation import CANDIDATE_ORDER
-from qaloom.plans.monitoring import SQL_CONTEXT, SQL_HEALTH
+from qaloom.plans.monitoring import SQL_CONTEXT, SQL_HEALTH, SQL_MEAN, mean_as_text
 from qaloom.plans.registry import query
 from qaloom.plans.relations import SQL_PAGES, big, q, sql_answer, sql_any, sql_is_qa, sql_round, table
 from qaloom.plans.texts import SQL_GATE, sql_technical
 from qaloom.session import work_path
 from qaloom.sources.pages import page_scan
 from qaloom.streaming import stateful
-from qaloom.streaming.tables import feed_in_order, run_to_table, stream_table
+from qaloom.streaming.tables import run_to_table, stream_table, write_slices
 
 
 def extract(prompt: str) -> str:
@@ -177,32 +177,38 @@ def _(spark, sf):
 # --- streams -------------------------------------------------------------------------------
 
 
+def _fed(df, key, order, path):
+    """A table as a stream of several micro-batches in order."""
+    per_trigger = write_slices(df, key, order, f"{path}/in")
+    return stream_table(df.sparkSession, f"{path}/in", per_trigger=per_trigger)
+
+
 @query(
     "health_stream",
     f"""WITH {SQL_HEALTH}, rolled AS (SELECT run_id, step, avg(loss) OVER (PARTITION BY run_id
-        ORDER BY step ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS m FROM metrics)
+        ORDER BY step ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS avg_loss FROM metrics)
     SELECT h.run_id, h.step, bad_count, status,
       CASE WHEN NOT starts_with(status, 'stop_') AND status <> 'after_stop' AND h.step > 0 AND h.step % 10 = 0
-            AND NOT isnan(h.loss) AND NOT isinf(h.loss) AND h.loss <> 0 AND NOT isnan(m)
-           THEN {sql_round('m', 6)} END AS avg_loss
+            AND NOT isnan(h.loss) AND NOT isinf(h.loss) AND h.loss <> 0
+           THEN {SQL_MEAN} END AS avg_loss
     FROM health h JOIN rolled USING (run_id, step)""",
 )
 def _(spark, sf):
-    watched = feed_in_order(
-        R.metrics(spark, sf), "step", stateful.health_stream, work_path(spark, "health")
-    )
-    mean = F.when(~F.isnan("avg_loss"), F.round("avg_loss", 6))
-    return watched.withColumn("avg_loss", mean)
+    path = work_path(spark, "health")
+    events = _fed(R.metrics(spark, sf), "run_id", "step", path)
+    watched = run_to_table(stateful.health_stream(events), path)
+    return watched.withColumn("avg_loss", mean_as_text("avg_loss"))
 
 
 @query(
     "chat_stream",
     f"""WITH {SQL_CONTEXT} SELECT conv_id, turn, exchange_no, coalesce(n_past, 0) AS n_past, context,
-      least(exchange_no, 5) || '/5' AS occupancy FROM context""",
+      least(exchange_no, 5) || '/5' AS occupancy, false AS is_late FROM context""",
 )
 def _(spark, sf):
-    turns = table(spark, sf, "conversations")
-    return feed_in_order(turns, "turn", stateful.chat_stream, work_path(spark, "chat"), 10_000)
+    path = work_path(spark, "chat")
+    turns = _fed(table(spark, sf, "conversations"), "conv_id", "turn", path)
+    return run_to_table(stateful.chat_stream(turns), path)
 
 
 # the column functions as they are, on a stream

@@ -45,12 +45,12 @@ def quality_of(samples: DataFrame, rules: Rules | None = None) -> DataFrame:
 
 
 def prepare_training(
-    samples: DataFrame, vocab_size: int = 50_000, max_length: int = 768
+    samples: DataFrame, vocab_size: int = 50_000, max_length: int = 768, ids: Sequence[str] = ORDER
 ) -> DataFrame:
     """Split samples -> fixed-length rows, with a vocabulary from the train part."""
-    texts = samples.withColumn("text", training_text("text"))
+    texts = samples.select(*ids, "split", training_text("text").alias("text"))
     vocab = encode.learn_vocab(texts.where(F.col("split") == "train"), vocab_size)
-    return encode.encode(texts, vocab, max_length, vocab_size=vocab_size)
+    return encode.encode(texts, vocab, max_length)
 
 
 def evaluate(

@@ -63,6 +63,14 @@ def _(spark, sf):
     return number_rows(events, ["user_id"], "event_id", "nth")
 
 
+# a mean as text, so that NaN stays NaN: thousandths, away from rounding ties
+SQL_MEAN = "CASE WHEN isnan(avg_loss) THEN 'NaN' ELSE CAST(CAST(round(avg_loss * 1000) AS BIGINT) AS VARCHAR) END"
+
+
+def mean_as_text(mean):
+    return F.when(F.isnan(mean), "NaN").otherwise(F.round(F.col(mean) * 1000).cast("bigint").cast("string"))
+
+
 @query("health", f"WITH {SQL_HEALTH} SELECT run_id, step, bad_count, status FROM health")
 def _(spark, sf):
     return monitor.health(R.metrics(spark, sf)).select("run_id", "step", "bad_count", "status")
@@ -75,15 +83,15 @@ def _(spark, sf):
 
 @query(
     "rolling_loss",
-    f"""WITH {SQL_METRICS}, m AS (SELECT *, avg(loss) OVER (PARTITION BY run_id ORDER BY step
+    f"""WITH {SQL_HEALTH}, m AS (SELECT *, avg(loss) OVER (PARTITION BY run_id ORDER BY step
         ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS avg_loss FROM metrics)
-    SELECT run_id, step, CASE WHEN isnan(avg_loss) THEN NULL ELSE {sql_round('avg_loss', 6)} END AS avg_loss
-    FROM m WHERE {_OK} AND step > 0 AND step % 10 = 0""",
+    SELECT run_id, step, {SQL_MEAN} AS avg_loss
+    FROM m JOIN (SELECT run_id, step, status FROM health) USING (run_id, step)
+    WHERE {_OK} AND step > 0 AND step % 10 = 0 AND status <> 'after_stop' AND NOT starts_with(status, 'stop_')""",
 )
 def _(spark, sf):
     rolled = monitor.rolling_loss(R.metrics(spark, sf))
-    mean = F.when(~F.isnan("avg_loss"), F.round("avg_loss", 6))
-    return rolled.select("run_id", "step", mean.alias("avg_loss"))
+    return rolled.select("run_id", "step", mean_as_text("avg_loss").alias("avg_loss"))
 
 
 @query(
@@ -152,7 +160,7 @@ def _(spark, sf):
 
 @query(
     "render_chat",
-    """SELECT conv_id, CAST(0 AS BIGINT) AS segment, string_agg(text || '<|endoftext|>', '' ORDER BY turn) AS rendered
+    """SELECT conv_id, string_agg(text || '<|endoftext|>', '' ORDER BY turn) AS rendered
     FROM conversations GROUP BY conv_id""",
 )
 def _(spark, sf):

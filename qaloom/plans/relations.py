@@ -9,7 +9,6 @@ from qaloom import fixed_values as fv
 from qaloom.functions.checks import PROFILES
 from qaloom.functions.text import evaluation_prompt, qa_text
 from qaloom.operators.curate import compose_qa
-from qaloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The documents, dealt out over all cores when they are few."""
-    df = table(spark, sf_dir, "documents").select("doc_id", *(columns or ("text",)))
-    return spread(df, "doc_id")
+    """The documents with their texts, or with the columns asked for."""
+    return table(spark, sf_dir, "documents").select("doc_id", *(columns or ("text",)))
 
 
 # --- SQL helpers ---------------------------------------------------------------

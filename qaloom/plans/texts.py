@@ -304,17 +304,27 @@ def _(spark, sf):
     )
 
 
-# texts shorter than 20 characters stand for missing ones
-SQL_TRAINING = f"""trained AS (
-  SELECT doc_id, CASE WHEN length(text) < 20 THEN {q(fv.FALLBACK_SAMPLE + fv.END_TOKEN)}
+# the documents, and each of them once more without and with a blank text
+SQL_TRAINING = f"""given AS (
+  SELECT doc_id, 0 AS part, text FROM documents
+  UNION ALL SELECT doc_id, 1, NULL FROM documents WHERE n_chars % 50 = 0
+  UNION ALL SELECT doc_id, 2, '  ' || chr(10) FROM documents WHERE n_chars % 50 = 1),
+trained AS (
+  SELECT doc_id * 4 + part AS doc_id, CASE WHEN text IS NULL OR {sql_strip('text')} = '' THEN {q(fv.FALLBACK_SAMPLE + fv.END_TOKEN)}
     WHEN ends_with({sql_strip('text')}, '{fv.END_TOKEN}') THEN {sql_strip('text')}
     ELSE {sql_strip('text')} || '{fv.END_TOKEN}' END AS text
-  FROM documents)"""
+  FROM given)"""
 
 
 def training_texts(spark, sf):
-    text = F.when(F.length("text") >= 20, F.col("text"))
-    return R.documents(spark, sf).select("doc_id", X.training_text(text).alias("text"))
+    """Training texts of all documents; copies of some, with a missing or blank text, ask for the fallback."""
+    blank = F.when(F.col("n_chars") % 50 == 1, "  \n")
+    again = F.when(F.col("n_chars") % 50 < 2, F.struct(F.col("n_chars") % 50 + 1, blank))
+    parts = F.array_compact(F.array(F.struct(F.lit(0).cast("long").alias("part"), "text"), again))
+    docs = R.documents(spark, sf, "text", "n_chars").select("doc_id", F.explode(parts).alias("p"))
+    return docs.select(
+        (F.col("doc_id") * 4 + F.col("p.part")).alias("doc_id"), X.training_text(F.col("p.text")).alias("text")
+    )
 
 
 @query("training_text", f"WITH {SQL_TRAINING} SELECT doc_id, text FROM trained")

@@ -48,16 +48,6 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small table's rows out by ``key`` when its scan has too few tasks.
-
-    A scan has one task per 128 MB or so. With fewer tasks than the cluster has
-    cores the table is small and moving it is cheap; larger tables stay put.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table on shared storage and go on from there.
 

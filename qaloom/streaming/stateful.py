@@ -3,14 +3,17 @@
 Inside a micro-batch the rows of a key are put in order first. A row at or
 before the last position already seen is late: it is reported and not applied.
 The source's trigger limits (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``)
-bound what a micro-batch holds for one key.
+bound what a micro-batch holds for one key. A key without rows for ``idle`` loses its
+state, so that states don't add up for ever; a later row of it starts anew.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +30,8 @@ HEALTH_STATE = (
     "stopped boolean, last_step bigint, n_late bigint"
 )
 CONTEXT_OUT = (
-    "conv_id bigint, turn bigint, exchange_no bigint, n_past bigint, context string, occupancy string"
+    "conv_id bigint, turn bigint, exchange_no bigint, n_past bigint, context string, "
+    "occupancy string, is_late boolean"
 )
 CONTEXT_STATE = (
     "n_exchanges bigint, questions array<string>, answers array<string>, "
@@ -35,8 +39,26 @@ CONTEXT_STATE = (
 )
 
 
-def _in_order(frames: Iterator[pd.DataFrame], column: str) -> pd.DataFrame:
-    return pd.concat(list(frames)).sort_values(column, kind="stable")
+IDLE_MS = 7 * 24 * 3600 * 1000
+OUT_ROWS = 10_000
+
+
+def _in_order(frames: Iterator[pd.DataFrame], position: str, columns: list[str]) -> Iterator[tuple]:
+    """The rows of a key's micro-batch by position: arrays of its columns are held, frames are not."""
+    parts: list[list[np.ndarray]] = [[] for _ in columns]
+    for frame in frames:
+        for part, c in zip(parts, columns):
+            part.append(frame[c].to_numpy())
+    if parts[0]:
+        held = [np.concatenate(p) for p in parts]
+        for i in np.argsort(held[columns.index(position)], kind="stable"):
+            yield tuple(h[i] for h in held)
+
+
+def _in_frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows as frames of bounded length."""
+    while part := list(islice(rows, OUT_ROWS)):
+        yield pd.DataFrame(part, columns=columns)
 
 
 class RunHealth:
@@ -100,78 +122,90 @@ class RunHealth:
         return None
 
 
-def health_stream(events: DataFrame, patience: int = monitor.PATIENCE) -> DataFrame:
+def health_stream(
+    events: DataFrame, patience: int = monitor.PATIENCE, idle_ms: int = IDLE_MS
+) -> DataFrame:
     """Health of every run, event by event, with the rolling loss where it is due.
 
-    ``events`` holds ``run_id, step, loss, grad_norm``; streaming or not, the
-    result equals the batch form on the same events.
+    ``events`` holds ``run_id, step, loss, grad_norm``; on events in order the
+    result equals the batch form. Late events have the status ``late``.
     """
+    given = ["step", "loss", "grad_norm", "has_grad"]
 
     def watch(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         run = RunHealth(patience, state.get if state.exists else None)
-        batch = _in_order(frames, "step")
-        grads = batch["grad_norm"].where(batch["has_grad"], None).astype(object)
-        out = [
-            (key[0], step, *run.observe(int(step), float(loss), grad if has else None))
-            for step, loss, grad, has in zip(
-                batch["step"], batch["loss"], grads, batch["has_grad"]
-            )
-        ]
+
+        def seen() -> Iterator[tuple]:
+            for step, loss, grad, has in _in_order(frames, "step", given):
+                row = run.observe(int(step), float(loss), float(grad) if has else None)
+                yield (key[0], int(step), *row, row[-1] is None)
+
+        for frame in _in_frames(seen(), ["run_id", "step", "bad_count", "status", "avg_loss", "no_mean"]):
+            yield frame.astype({"bad_count": "Int64", "avg_loss": "float64"})
         state.update(run.saved())
-        seen = pd.DataFrame(out, columns=["run_id", "step", "bad_count", "status", "avg_loss"])
-        seen["no_mean"] = [row[-1] is None for row in out]
-        yield seen.astype({"bad_count": "Int64", "avg_loss": "float64"})
+        state.setTimeoutDuration(idle_ms)
 
     # pandas holds a null number as NaN, so both ways a column of its own tells them apart
     told = events.where(F.col("loss").isNotNull()).select(
         "run_id", "step", "loss", "grad_norm", F.col("grad_norm").isNotNull().alias("has_grad")
     )
     watched = told.groupBy("run_id").applyInPandasWithState(
-        watch, HEALTH_OUT, HEALTH_STATE, "append", GroupStateTimeout.NoTimeout
+        watch, HEALTH_OUT, HEALTH_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
     mean = F.when(~F.col("no_mean"), F.coalesce("avg_loss", F.lit(float("nan"))))
     return watched.withColumn("avg_loss", mean).drop("no_mean")
 
 
 def chat_stream(
-    turns: DataFrame, cap: int = chat.MEMORY, k: int = chat.CONTEXT
+    turns: DataFrame, cap: int = chat.MEMORY, k: int = chat.CONTEXT, idle_ms: int = IDLE_MS
 ) -> DataFrame:
     """Per finished exchange: its context and how full the conversation's memory then is.
 
     ``turns`` holds ``conv_id, turn, role, text``. An assistant turn finishes
-    the user turn directly before it.
+    the user turn directly before it. A late turn comes out with ``is_late`` and nothing else.
     """
+    names = ["conv_id", "turn", "exchange_no", "n_past", "context", "occupancy", "is_late"]
 
     def follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         n, questions, answers, asked, last = (
             state.get if state.exists else (0, [], [], None, None)
         )
-        questions, answers, out = list(questions), list(answers), []
-        for row in _in_order(frames, "turn").itertuples(index=False):
-            if last is not None and row.turn <= last:
-                continue
-            if row.role == "assistant" and asked is not None and row.turn == last + 1:
-                past = [
-                    f"{fv.HUMAN} {q}\n{fv.ASSISTANT} {a}"
-                    for q, a in list(zip(questions, answers))[-k:]
-                ]
-                n += 1
-                questions, answers = (questions + [asked])[-cap:], (answers + [row.text])[-cap:]
-                context = "\n".join([*past, f"{fv.HUMAN} {asked}\n{fv.ASSISTANT}"])
-                out.append(
-                    (key[0], last, n, len(past), context, f"{len(questions)}/{cap}")
-                )
-            asked = row.text if row.role == "user" else None
-            last = int(row.turn)
+        questions, answers = list(questions), list(answers)
+
+        def finished() -> Iterator[tuple]:
+            nonlocal n, questions, answers, asked, last
+            for turn, role, text in _in_order(frames, "turn", ["turn", "role", "text"]):
+                turn = int(turn)
+                if last is not None and turn <= last:
+                    yield (key[0], turn, None, None, None, None, True)
+                    continue
+                if role == "assistant" and asked is not None:
+                    past = [
+                        f"{fv.HUMAN} {q}\n{fv.ASSISTANT} {a}"
+                        for q, a in list(zip(questions, answers))[-k:]
+                    ]
+                    n += 1
+                    questions, answers = (questions + [asked])[-cap:], (answers + [text])[-cap:]
+                    context = "\n".join([*past, f"{fv.HUMAN} {asked}\n{fv.ASSISTANT}"])
+                    yield (key[0], last, n, len(past), context, f"{len(questions)}/{cap}", False)
+                asked = text if role == "user" else None
+                last = turn
+
+        for frame in _in_frames(finished(), names):
+            yield frame.astype({"exchange_no": "Int64", "n_past": "Int64"})
         state.update((n, questions, answers, asked, last))
-        yield pd.DataFrame(
-            out, columns=["conv_id", "turn", "exchange_no", "n_past", "context", "occupancy"]
-        )
+        state.setTimeoutDuration(idle_ms)
 
     return (
         turns.select("conv_id", "turn", "role", "text")
         .groupBy("conv_id")
         .applyInPandasWithState(
-            follow, CONTEXT_OUT, CONTEXT_STATE, "append", GroupStateTimeout.NoTimeout
+            follow, CONTEXT_OUT, CONTEXT_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
         )
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,24 +33,15 @@ def run_to_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/table")
 
 
-def feed_in_order(
-    df: DataFrame,
-    order: str,
-    operator: Callable[[DataFrame], DataFrame],
-    path: str,
-    span: int = 1_000_000,
-) -> DataFrame:
-    """Replay a table through a stream operator, ``span`` positions per micro-batch.
+def write_slices(df: DataFrame, key: str, order: str, path: str, slices: int = 4) -> int:
+    """Write a table as files that a stream reads in ``order``; returns the files of a slice.
 
-    ``order`` is unique inside a key, so a micro-batch holds at most ``span``
-    rows of one key, however large the key. The operator's state goes on from
-    one micro-batch to the next through the checkpoint below ``path``.
+    The table is cut at quantiles of ``order`` into ``slices`` (a fixed number) writes, one
+    after the other, so later slices have later files. In a slice a key is in one file.
     """
-    spark = df.sparkSession
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    first, last = (0, 0) if low is None else (low // span, high // span)
-    for block in range(first, last + 1):
-        rows = df.where(F.col(order).between(block * span, (block + 1) * span - 1))
-        rows.write.mode("append").parquet(f"{path}/in")
-        result = run_to_table(operator(stream_table(spark, f"{path}/in")), path)
-    return result
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = df.select(F.percentile_approx(order, [i / slices for i in range(1, slices)], 10_000)).first()[0]
+    at = F.coalesce(sum((F.col(order) > F.lit(c)).cast("int") for c in cuts or []), F.lit(0)) if cuts else F.lit(0)
+    for n in range(slices):
+        df.where(at == n).repartition(parts, key).write.mode("append").parquet(path)
+    return parts

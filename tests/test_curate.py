@@ -42,10 +42,9 @@ def accepted(rows, cap):
 
 
 @pytest.mark.parametrize("cap", [1, 17, 90, 1000])
-@pytest.mark.parametrize("small", [10, 100_000])
-def test_accept(candidates, cap, small):
+def test_accept(candidates, cap):
     df, rows = candidates
-    got = curate.accept(df, cap, ORDER, small=small).collect()
+    got = curate.accept(df, cap, ORDER).collect()
     assert sorted(tuple(r) for r in got) == accepted(rows, cap)
 
 
@@ -150,8 +149,8 @@ def test_retry_replaces_even_when_worse(spark):
     assert got["fine"][1] is False and got["fine"][0].startswith("### Human: q ### Assistant: heap")
 
 
-@pytest.mark.parametrize("cap, rounds", [(5, 5), (40, 3), (500, 2)])
-def test_rounds_equal_one_go(spark, sf_dir, cap, rounds):
+@pytest.mark.parametrize("cap, factor", [(5, 1.5), (40, 0.4), (500, 1.5)])
+def test_rounds_equal_one_go(spark, sf_dir, cap, factor):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     attempts = generate.candidates_of(page_scan(docs), cap, template="{text}").select(
         *[F.col(c).cast("bigint").alias(c) for c in ORDER], "prompt"
@@ -162,7 +161,7 @@ def test_rounds_equal_one_go(spark, sf_dir, cap, rounds):
         calls.add(1)
         return extract(prompt)
 
-    got = generate.generate_until(attempts, model, cap, ORDER, rounds=rounds)
+    got = generate.generate_until(attempts, model, cap, ORDER, factor=factor)
     rows = sorted((r.doc_id, r.page_ix, r.attempt, r.response) for r in got.collect())
     made = generate.generate_with_retry(attempts, extract).where(is_qa("response"))
     want = curate.accept(made, cap, ORDER).collect()
@@ -181,7 +180,7 @@ def test_generator_is_called_once_per_prompt(spark):
 
     rows = [(1, 0, i, f"p{i}") for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id bigint, page_ix bigint, attempt bigint, prompt string")
-    got = generate.generate_until(df, model, 40, ORDER, rounds=1)
+    got = generate.generate_until(df, model, 40, ORDER)
     assert got.count() == 40 and got.count() == 40 and calls.value == 40
 
 
@@ -193,3 +192,57 @@ def test_build_dataset(spark, sf_dir):
     assert samples.select("text").distinct().count() == 50
     rows = jobs.prepare_training(samples, vocab_size=100, max_length=16)
     assert rows.count() == 50 and rows.selectExpr("min(size(input_ids))").first()[0] == 16
+
+
+def test_ids_pass_a_python_generator_untouched(spark):
+    big = 2**53 + 1
+    rows = [(big, "p", [1], None), (None, "fine", None, 0.5), (big + 2, None, [], 1.5)]
+    df = spark.createDataFrame(rows, "id bigint, prompt string, a array<int>, x double")
+    got = generate.generate(df, lambda p: p.upper()).collect()
+    assert [tuple(r) for r in got] == [(big, "p", [1], None, "P", None), (None, "fine", None, 0.5, "FINE", None), (big + 2, None, [], 1.5, None, None)]
+    retried = generate.generate_with_retry(df, lambda p: "### Human: a ### Assistant: b").collect()
+    assert sorted((r.id is None, r.id, r.retried) for r in retried) == [(False, big, True), (False, big + 2, False), (True, None, True)]
+
+
+def test_second_calls_see_flagged_rows_only(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(prompt):
+        calls.add(1)
+        return "### Human: a ### Assistant: b" if prompt == "bad" else "no markers"
+
+    df = spark.createDataFrame([("bad",), ("good",), ("fine",)], "prompt string")
+    made = generate.generate_with_retry(df, model)
+    assert "Filter" in made._jdf.queryExecution().executedPlan().toString()
+    assert len(made.collect()) == 3 and calls.value == 4
+
+
+def test_pairs_over_gaps_in_turns(spark):
+    rows = [(1, 10, "user", "a"), (1, 20, "assistant", "b"), (1, 30, "user", "c"), (1, 31, "system", "s"),
+            (1, 32, "assistant", "d"), (None, 1, "user", "e"), (None, 7, "assistant", "f")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for span in (1, 2, 100_000):
+        got = {(r.conv_id, r.turn, r.question, r.answer) for r in curate.compose_qa(df, span).collect()}
+        assert got == {(1, 10, "a", "b"), (None, 1, "e", "f")}
+
+
+def test_std_of_lengths_far_from_zero(spark):
+    df = spark.range(1000).select(F.lit("train").alias("split"), (F.lit(10**9) + F.col("id") % 2).alias("length"), F.lit(True).alias("is_valid"))
+    row = curate.describe_by_split(df).first()
+    assert row.length_std == pytest.approx(0.50025, abs=1e-5) and row.length_median == 10**9 + 0.5
+
+
+def test_texts_stay_out_of_the_grouping(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    plan = curate.dedup_first(docs, "text", ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "partial_min(" in plan
+    assert "min_by" not in plan
+
+
+def test_large_caps_per_run(spark):
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("run"), F.col("id").alias("attempt"),
+        F.format_string("### Human: %d ### Assistant: x", "id").alias("response"),
+    )
+    got = curate.accept(df, 2000, ["attempt"], by=["run"], span=500)
+    assert got.where("run = 0").agg(F.max("attempt"), F.count("*")).first()[:] == (5997, 2000) and got.count() == 8000

@@ -119,11 +119,12 @@ def test_verdict(events):
 def test_rolling(events, span):
     df, rows = events
     got = {(r.run_id, r.step): r.avg_loss for r in monitor.rolling_loss(df, span=span).collect()}
-    by_run = {}
+    by_run, verdicts = {}, walk(rows)
     for run, step, loss, _ in sorted(rows, key=lambda r: r[:2]):
         seen = by_run.setdefault(run, [])
         seen.append(loss)
-        if math.isfinite(loss) and loss != 0 and step % 10 == 0:
+        _, status = verdicts[run, step]
+        if math.isfinite(loss) and loss != 0 and step % 10 == 0 and not status.startswith(("stop", "after")):
             mean = sum(seen[-10:]) / len(seen[-10:])
             value = got.pop((run, step))
             assert (math.isnan(mean) and math.isnan(value)) or value == pytest.approx(mean)
@@ -143,3 +144,10 @@ def test_check_finite(spark):
     df = spark.createDataFrame(rows, "id bigint, g string, v array<double>")
     got = {r.g: (r.n_bad, r.is_finite, r.first_bad, r.first_kind) for r in check_finite(df, "v", "id", ["g"]).collect()}
     assert got == {"a": (2, False, 2, "nan"), "b": (0, True, None, None), "c": (1, False, 5, "inf")}
+
+
+def test_null_runs_are_runs(spark):
+    rows = [(None, 1, 1.0, None), (None, 2, math.nan, None), (1, 1, 2.0, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.run_id, r.step): r.status for r in monitor.health(df).collect()}
+    assert got == {(None, 1): "ok", (None, 2): "warn_nan", (1, 1): "ok"}

@@ -5,10 +5,9 @@ from __future__ import annotations
 import pytest
 
 import compare
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from qaloom.plans.registry import ORACLE, QUERIES
 
-# their sizes are known to the file system only
-NO_SQL = {"list_files"}
 # queries that call a Python function: a caller's generator or a per-key state
 PYTHON = {"generate", "generate_with_retry"}
 # these write a table first, so their plan is the reading of it
@@ -20,13 +19,13 @@ def con(sf_dir):
     return compare.connection(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_as_sql(spark, sf_dir, con, name):
-    assert compare.differences(queries()[name](spark, sf_dir), con, oracle_sql()[name]) is None
+    assert compare.differences(QUERIES[name](spark, sf_dir), con, ORACLE[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
@@ -34,10 +33,10 @@ def test_entry(spark):
     assert len(rows) == 1 and rows[0]["verdict"] in {"EXCELLENT", "GOOD", "MODERATE", "POOR"}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_plan(spark, sf_dir, name):
-    plan = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
-    python = any(node in plan for node in ("MapInPandas", "ArrowEvalPython", "BatchEvalPython"))
+    python = any(node in plan for node in ("MapIn", "ArrowEvalPython", "BatchEvalPython"))
     assert python == (name in PYTHON)

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from qaloom.operators.ordered import number_rows, with_neighbours
+from qaloom.operators.ordered import number_rows, with_blocks, with_neighbours
 from qaloom.operators.selection import after, nth_key, split_by_hash, split_exact, take_first
 
 
@@ -57,39 +57,74 @@ def ordered(spark):
     return spark.createDataFrame(shuffled, "a bigint, b bigint"), rows
 
 
-@pytest.mark.parametrize("small, cells", [(1, 4), (20, 65_536), (10**6, 4)])
-def test_nth_key(ordered, small, cells):
+def test_nth_key(ordered):
     df, rows = ordered
     for n in (1, 2, 137, len(rows) - 1, len(rows)):
-        assert nth_key(df, ["a", "b"], n, small, cells) == rows[n - 1]
-    assert nth_key(df, ["a", "b"], len(rows) + 1, small, cells) is None
-    assert nth_key(df.limit(0), ["a", "b"], 1, small, cells) is None
+        assert nth_key(df, ["a", "b"], n) == rows[n - 1]
+    assert nth_key(df, ["a", "b"], len(rows) + 1) is None
+    assert nth_key(df.limit(0), ["a", "b"], 1) is None
 
 
-@pytest.mark.parametrize("small", [3, 10**6])
-def test_take_first(ordered, small):
+def test_take_first(ordered):
     df, rows = ordered
-    got = sorted(tuple(r) for r in take_first(df, ["a", "b"], 200, small).collect())
+    got = sorted(tuple(r) for r in take_first(df, ["a", "b"], 200).collect())
     assert got == rows[:200]
-    assert take_first(df, ["a", "b"], 10**5, small).count() == len(rows)
-    rest = sorted(tuple(r) for r in df.where(after(["a", "b"], rows[199])).collect())
+    assert take_first(df, ["a", "b"], 10**5).count() == len(rows) and take_first(df, ["a", "b"], 0).count() == 0
+    rest = sorted(tuple(r) for r in df.where(after(df, ["a", "b"], rows[199])).collect())
     assert rest == rows[200:]
 
 
-@pytest.mark.parametrize("small", [5, 10**6])
+@pytest.mark.parametrize("kind", ["bigint", "string", "double", "timestamp"])
+def test_take_first_with_ties_nulls_and_equal_rows(spark, kind):
+    rows = [(None, 1), (None, 2), (3, 1), (3, 1), (3, 1), (3, 2), (5, None), (7, 0)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint").withColumn("a", F.col("a").cast(kind))
+    order = df.select(F.col("a").cast("string").alias("a"), "b").collect()
+    for n in range(10):
+        got = take_first(df, ["a"], n).select(F.col("a").cast("string").alias("a"), "b").collect()
+        assert len(got) == min(n, 8)
+        # all rows with smaller keys, and of the last key only as many as there is room for
+        ranks = sorted((r.a is not None, float(r.a) if kind != "timestamp" and r.a else str(r.a)) for r in got)
+        want = sorted((r.a is not None, float(r.a) if kind != "timestamp" and r.a else str(r.a)) for r in order)
+        assert ranks == want[:n]
+
+
 @pytest.mark.parametrize("n, n_test", [(0, 0), (1, 1), (4, 1), (101, 21), (200, 40)])
-def test_split_exact(spark, small, n, n_test):
+def test_split_exact(spark, n, n_test):
     df = spark.range(n).withColumnRenamed("id", "sample_id")
     parts = [
-        {(r.sample_id, r.split) for r in split_exact(d, ["sample_id"], small=small).collect()}
+        {(r.sample_id, r.split) for r in split_exact(d, ["sample_id"]).collect()}
         for d in (df, df.repartition(13))
     ]
     assert parts[0] == parts[1]
     assert len(parts[0]) == n and sum(s == "test" for _, s in parts[0]) == n_test
-    other = split_exact(df, ["sample_id"], seed=7, small=small).collect()
+    other = split_exact(df, ["sample_id"], seed=7).collect()
     assert n < 100 or {(r.sample_id, r.split) for r in other} != parts[0]
 
 
+def test_split_exact_of_equal_rows(spark):
+    df = spark.range(10).select((F.col("id") % 1).alias("sample_id"))
+    assert sorted(r.split for r in split_exact(df, ["sample_id"]).collect()) == ["test"] * 2 + ["train"] * 8
+
+
+def test_no_row_is_lost(spark):
+    rows = [(None, 1), (None, None), (1, None), (1, 10**12), (1, 5)]
+    df = spark.createDataFrame(rows, "k bigint, o bigint")
+    for span in (1, 100):
+        got = sorted(((r.k, r.o, r.n) for r in number_rows(df, ["k"], "o", "n", span).collect()), key=repr)
+        assert got == sorted([(None, None, 1), (None, 1, 2), (1, None, 1), (1, 5, 2), (1, 10**12, 3)], key=repr)
+
+
+def test_sparse_orders_make_few_blocks(spark):
+    # milliseconds, one key with a third of the rows
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+        (F.lit(1_700_000_000_000) + F.col("id") * 977_777).alias("o"),
+    )
+    blocks = with_blocks(df, ["k"], "o", span=100).groupBy("k", "_block").count()
+    hot = [r["count"] for r in blocks.where("k = 0").collect()]
+    assert 8 <= len(hot) <= 13 and max(hot) <= 130 and blocks.where("k <> 0").count() == 2000
+
+
 def test_split_by_hash_is_about_right(spark):
     df = split_by_hash(spark.range(5000), ["id"])
     assert 850 < df.where("split = 'test'").count() < 1150

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from qaloom.plans.registry import QUERIES
 from qaloom.operators import monitor
 from qaloom.operators.curate import compose_qa
 from qaloom.operators.ordered import number_rows
@@ -42,14 +42,14 @@ def test_one_hot_key_is_spread(spark, no_coalescing):
     assert partitions_of(pairs) > 4 and pairs.count() == 2000
 
 
-@pytest.mark.parametrize("name", ["dedup_first", "accept", "new_only", "trim_quantiles"])
+@pytest.mark.parametrize("name", ["dedup_first", "new_only", "trim_quantiles"])
 def test_copies_meet_before_the_shuffle(spark, sf_dir, name):
-    assert "partial_min_by" in plan(queries()[name](spark, sf_dir))
+    assert "partial_min(" in plan(QUERIES[name](spark, sf_dir))
 
 
-@pytest.mark.parametrize("name", ["chat_memory", "accept_per_document"])
+@pytest.mark.parametrize("name", ["chat_memory"])
 def test_rank_limits_before_the_shuffle(spark, sf_dir, name):
-    steps = plan(queries()[name](spark, sf_dir))
+    steps = plan(QUERIES[name](spark, sf_dir))
     assert "WindowGroupLimit" in steps and "Partial" in steps
 
 
@@ -57,20 +57,20 @@ def test_rank_limits_before_the_shuffle(spark, sf_dir, name):
     "name", ["is_qa", "flags_inspect", "clean_technical", "training_text", "page_scan", "mask"]
 )
 def test_scans_read_only_what_is_used(spark, sf_dir, name):
-    assert "struct<doc_id:bigint,text:string>" in plan(queries()[name](spark, sf_dir))
+    assert "struct<doc_id:bigint,text:string>" in plan(QUERIES[name](spark, sf_dir))
 
 
 def test_ids_alone_decide_a_split(spark, sf_dir):
-    assert "text" not in plan(queries()["split_exact"](spark, sf_dir)).split("FileScan")[1]
+    assert "text" not in plan(QUERIES["split_exact"](spark, sf_dir)).split("FileScan")[1]
 
 
 @pytest.mark.parametrize("name", ["classify_error", "mask", "previews", "split_by_hash", "artifact_name"])
 def test_row_work_does_not_shuffle(spark, sf_dir, name):
-    assert "Exchange" not in plan(queries()[name](spark, sf_dir))
+    assert "Exchange" not in plan(QUERIES[name](spark, sf_dir))
 
 
 def test_health_moves_its_rows_once(spark, sf_dir):
-    df = queries()["health"](spark, sf_dir)
+    df = QUERIES["health"](spark, sf_dir)
     df.collect()
     rows = [x for x in plan(df).split("Final Plan")[-1].split("Initial Plan")[0].splitlines() if "ShuffleQueryStage" in x]
     assert rows

@@ -12,7 +12,7 @@ from qaloom import fixed_values as fv
 from qaloom.functions.text import training_text
 from qaloom.operators import encode, monitor, reports, rules
 from qaloom.operators.selection import split_exact
-from qaloom.session import spread, work_dir
+from qaloom.session import work_dir
 from qaloom.sources import dataset
 from qaloom.sources.files import list_files
 from qaloom.sources.logs import read_training_log
@@ -135,39 +135,32 @@ def test_encode(spark):
     assert [(r.token, r.token_id) for r in vocab.orderBy("token_id").collect()] == [("a", 1), ("b", 2)]
     end = fv.END_TOKEN_ID
     want = {1: [1, 2, 1, 0], 2: [1, 2, end, end], 3: [0, end, end, end], 4: [end] * 4}
-    one = encode.encode(df, vocab, 4, vocab_size=2, multiple=1)
+    one = encode.encode(df, vocab, 4, multiple=1)
     two = encode.encode_by_join(df, vocab, 4, ["id"], multiple=1)
     for got in (one, two):
         rows = {r.id: r for r in got.collect()}
         assert {i: r.input_ids for i, r in rows.items()} == want
         assert rows[2].attention_mask == [1, 1, 1, 0] and rows[2].labels == want[2]
-    assert encode.encode(df, vocab, 4, vocab_size=2).first().input_ids == want[1] + [end] * 4
-    decoded = {r.id: r.decoded for r in encode.decode(one, vocab).collect()}
+    assert encode.encode(df, vocab, 4).orderBy("id").first().input_ids == want[1] + [end] * 4
+    decoded = {r.id: r.decoded for r in encode.decode(one, vocab, ["id"]).collect()}
     assert decoded == {1: "a b a <unk>", 2: "a b", 3: "<unk>", 4: ""}
     checked = ("input_ids,attention_mask,labels", 4, 4, 4, True, True, "2x4")
     assert tuple(encode.check_encoded(one).first()) == checked
-    assert tuple(encode.check_round_trip(df, vocab, 4, vocab_size=2).first()) == (4, 2, 2)
-    with pytest.raises(ValueError):
-        encode.encode(df, vocab, 4, vocab_size=10**7)
+    assert tuple(encode.check_round_trip(df, vocab, ["id"]).first()) == (4, 2, 2)
+    assert tuple(encode.check_round_trip(df, encode.learn_vocab(df, None), ["id"]).first()) == (4, 4, 4)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "scalar-subquery" not in plan and "Join" in plan
 
 
 def test_round_trip(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 400")
     df = docs.select("doc_id", training_text("text").alias("text"))
     vocab = encode.learn_vocab(df, 50_000)
-    rows = encode.decode(encode.encode(df, vocab, 512, vocab_size=50_000), vocab)
+    rows = encode.decode(encode.encode(df, vocab, 512), vocab)
     want = {r.doc_id: r.text for r in df.collect()}
     for r in rows.collect():
         assert r.decoded == " ".join(want[r.doc_id].replace(fv.END_TOKEN, " ").split())
 
 
-def test_spread(spark, sf_dir):
-    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(df, "doc_id").rdd.getNumPartitions() == cores
-    many = df.repartition(cores + 1)
-    assert spread(many, "doc_id") is many
-
-
 def test_work_dir_is_stable(spark):
     assert work_dir(spark) == work_dir(spark)
