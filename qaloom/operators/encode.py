@@ -28,7 +28,7 @@ def tokens(col: Column | str, eos: str = fv.END_TOKEN, first: int | None = None)
 def learn_vocab(df: DataFrame, size: int | None, text: str = "text", eos: str = fv.END_TOKEN) -> DataFrame:
     """``token, n, token_id``: the most frequent words, ids from 1, ties by word; all words without ``size``.
 
-    Written as a table, so that it is learned once however often it is joined.
+    The end token's id stays free. Written as a table, so that it is learned once however often it is joined.
     """
     counts = (
         df.select(F.explode(tokens(text, eos)).alias("token"))
@@ -36,8 +36,11 @@ def learn_vocab(df: DataFrame, size: int | None, text: str = "text", eos: str =
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = number_all(counts, [F.desc("n"), F.asc("token")], "token_id")
-    return ranked if size is None else materialise(ranked.where(F.col("token_id") <= size))
+    ranked = number_all(counts, [F.desc("n"), F.asc("token")], "_rank")
+    if size is not None:
+        ranked = ranked.where(F.col("_rank") <= size)
+    free = F.col("_rank") + F.when(F.col("_rank") >= fv.END_TOKEN_ID, 1).otherwise(0)
+    return materialise(ranked.withColumn("token_id", free).drop("_rank"))
 
 
 def _padded(ids: Column, max_length: int, pad_id: int, multiple: int = 1) -> list[Column]:

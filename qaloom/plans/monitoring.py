@@ -63,12 +63,12 @@ def _(spark, sf):
     return number_rows(events, ["user_id"], "event_id", "nth")
 
 
-# a mean as text, so that NaN stays NaN: thousandths, away from rounding ties
-SQL_MEAN = "CASE WHEN isnan(avg_loss) THEN 'NaN' ELSE CAST(CAST(round(avg_loss * 1000) AS BIGINT) AS VARCHAR) END"
+# a mean as text, so that NaN stays NaN: millionths, past the ties of sums of hundredths
+SQL_MEAN = "CASE WHEN isnan(avg_loss) THEN 'NaN' ELSE CAST(CAST(round(avg_loss * 1000000) AS BIGINT) AS VARCHAR) END"
 
 
 def mean_as_text(mean):
-    return F.when(F.isnan(mean), "NaN").otherwise(F.round(F.col(mean) * 1000).cast("bigint").cast("string"))
+    return F.when(F.isnan(mean), "NaN").otherwise(F.round(F.col(mean) * 1000000).cast("bigint").cast("string"))
 
 
 @query("health", f"WITH {SQL_HEALTH} SELECT run_id, step, bad_count, status FROM health")

@@ -319,7 +319,7 @@ trained AS (
 def training_texts(spark, sf):
     """Training texts of all documents; copies of some, with a missing or blank text, ask for the fallback."""
     blank = F.when(F.col("n_chars") % 50 == 1, "  \n")
-    again = F.when(F.col("n_chars") % 50 < 2, F.struct(F.col("n_chars") % 50 + 1, blank))
+    again = F.when(F.col("n_chars") % 50 < 2, F.struct((F.col("n_chars") % 50 + 1).alias("part"), blank.alias("text")))
     parts = F.array_compact(F.array(F.struct(F.lit(0).cast("long").alias("part"), "text"), again))
     docs = R.documents(spark, sf, "text", "n_chars").select("doc_id", F.explode(parts).alias("p"))
     return docs.select(

@@ -3,8 +3,12 @@
 Inside a micro-batch the rows of a key are put in order first. A row at or
 before the last position already seen is late: it is reported and not applied.
 The source's trigger limits (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``)
-bound what a micro-batch holds for one key. A key without rows for ``idle`` loses its
-state, so that states don't add up for ever; a later row of it starts anew.
+bound what a micro-batch holds for one key.
+
+With ``idle_ms`` a key without rows for so long loses its state, so that states don't
+add up for ever; a later row of it starts anew. Streams that go on should set it
+(``IDLE_MS`` is a week). One that runs over what is there and ends must not, since
+Spark goes on with empty batches as long as something may time out.
 """
 
 from __future__ import annotations
@@ -43,6 +47,10 @@ IDLE_MS = 7 * 24 * 3600 * 1000
 OUT_ROWS = 10_000
 
 
+def _timeout(idle_ms: int | None) -> str:
+    return GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+
+
 def _in_order(frames: Iterator[pd.DataFrame], position: str, columns: list[str]) -> Iterator[tuple]:
     """The rows of a key's micro-batch by position: arrays of its columns are held, frames are not."""
     parts: list[list[np.ndarray]] = [[] for _ in columns]
@@ -123,7 +131,7 @@ class RunHealth:
 
 
 def health_stream(
-    events: DataFrame, patience: int = monitor.PATIENCE, idle_ms: int = IDLE_MS
+    events: DataFrame, patience: int = monitor.PATIENCE, idle_ms: int | None = None
 ) -> DataFrame:
     """Health of every run, event by event, with the rolling loss where it is due.
 
@@ -146,21 +154,22 @@ def health_stream(
         for frame in _in_frames(seen(), ["run_id", "step", "bad_count", "status", "avg_loss", "no_mean"]):
             yield frame.astype({"bad_count": "Int64", "avg_loss": "float64"})
         state.update(run.saved())
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
 
     # pandas holds a null number as NaN, so both ways a column of its own tells them apart
     told = events.where(F.col("loss").isNotNull()).select(
         "run_id", "step", "loss", "grad_norm", F.col("grad_norm").isNotNull().alias("has_grad")
     )
     watched = told.groupBy("run_id").applyInPandasWithState(
-        watch, HEALTH_OUT, HEALTH_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        watch, HEALTH_OUT, HEALTH_STATE, "append", _timeout(idle_ms)
     )
     mean = F.when(~F.col("no_mean"), F.coalesce("avg_loss", F.lit(float("nan"))))
     return watched.withColumn("avg_loss", mean).drop("no_mean")
 
 
 def chat_stream(
-    turns: DataFrame, cap: int = chat.MEMORY, k: int = chat.CONTEXT, idle_ms: int = IDLE_MS
+    turns: DataFrame, cap: int = chat.MEMORY, k: int = chat.CONTEXT, idle_ms: int | None = None
 ) -> DataFrame:
     """Per finished exchange: its context and how full the conversation's memory then is.
 
@@ -200,12 +209,13 @@ def chat_stream(
         for frame in _in_frames(finished(), names):
             yield frame.astype({"exchange_no": "Int64", "n_past": "Int64"})
         state.update((n, questions, answers, asked, last))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
 
     return (
         turns.select("conv_id", "turn", "role", "text")
         .groupBy("conv_id")
         .applyInPandasWithState(
-            follow, CONTEXT_OUT, CONTEXT_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+            follow, CONTEXT_OUT, CONTEXT_STATE, "append", _timeout(idle_ms)
         )
     )
