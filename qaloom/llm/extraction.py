@@ -298,19 +298,17 @@ def labelled_by_markup(page: str) -> tuple[list[Block], list[int]]:
 
 
 def fit_pages(pages: DataFrame, sample: int = SAMPLE_PAGES, html_col: str = "html") -> Crf:
-    """A field trained on the template pages and on at most ``sample`` pages of the table.
+    """A field trained on the template pages and on at most ``sample`` distinct pages of the table.
 
-    The sample (pages of at most ``SAMPLE_CHARS`` characters that hash lowest) is all
-    that reaches the driver.
+    The sample (pages of at most ``SAMPLE_CHARS`` characters whose hashes are lowest) is
+    all that reaches the driver: its hashes are found first, then its pages fetched.
     """
     page = F.col(f"`{html_col}`")
-    rows = (
-        pages.select(page.alias("html"))
-        .where(F.length("html") <= SAMPLE_CHARS)
-        .orderBy(F.xxhash64("html", F.lit(SEED)), "html")
-        .limit(sample)
-        .collect()
-    )
+    given = pages.select(page.alias("html"), F.xxhash64(page, F.lit(SEED)).alias("mark"))
+    given = given.where(F.length("html") <= SAMPLE_CHARS)
+    marks = [r["mark"] for r in given.select("mark").distinct().orderBy("mark").limit(sample).collect()]
+    rows = given.where(F.col("mark").isin(marks)).groupBy("mark").agg(F.min("html").alias("html")).collect()
+    rows.sort(key=lambda r: r["mark"])
     return train_crf([*template_pages(), *(labelled_by_markup(r["html"]) for r in rows)])
 
 
