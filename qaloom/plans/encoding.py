@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from qaloom import fixed_values as fv
 from qaloom.operators import encode as E
+from qaloom.plans import jobs
+from qaloom.plans.curation import SQL_SPLIT, split_pairs
 from qaloom.plans.registry import query
-from qaloom.plans.relations import WS, big
+from qaloom.plans.relations import PAIR_IDS, WS, big, q, sql_strip
 from qaloom.plans.texts import SQL_TRAINING, training_texts
 
 VOCAB, LENGTH = 2000, 512
@@ -108,3 +110,30 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return E.check_encoded(training_rows(spark, sf))
+
+
+# split samples to training rows: the vocabulary comes from the train part alone
+_WORDS, _WIDTH = 300, 64
+
+
+@query(
+    "prepare_training",
+    f"""WITH {SQL_SPLIT}, closed AS (
+      SELECT conv_id, turn, split, CASE WHEN {sql_strip('text')} = '' THEN {q(fv.FALLBACK_SAMPLE + EOS)}
+        WHEN ends_with({sql_strip('text')}, '{EOS}') THEN {sql_strip('text')} ELSE {sql_strip('text')} || '{EOS}' END AS text
+      FROM split),
+    cut AS (SELECT *, [w FOR w IN regexp_split_to_array(replace(text, '{EOS}', ' {EOS} '), '{WS}+') IF w <> ''] AS toks FROM closed),
+    known AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS token_id FROM (
+      SELECT token, count(*) AS n FROM (SELECT unnest(toks) AS token FROM cut WHERE split = 'train')
+      WHERE token <> '{EOS}' GROUP BY token ORDER BY n DESC, token LIMIT {_WORDS})),
+    words AS (SELECT conv_id, turn, split, generate_subscripts(toks, 1) AS pos, unnest(toks) AS token FROM cut),
+    listed AS (SELECT conv_id, turn, split, list(CASE WHEN w.token = '{EOS}' THEN {EOS_ID}
+        ELSE coalesce(token_id, {fv.UNKNOWN_ID}) END ORDER BY pos) AS ids
+      FROM (SELECT * FROM words WHERE pos <= {_WIDTH}) w LEFT JOIN known k ON w.token = k.token GROUP BY ALL)
+    SELECT conv_id, turn, split, len(ids) AS n_words,
+      array_to_string(list_concat(ids, [{EOS_ID} FOR i IN range({_WIDTH} - len(ids))]), ' ') AS input_ids FROM listed""",
+)
+def _(spark, sf):
+    rows = jobs.prepare_training(split_pairs(spark, sf), _WORDS, _WIDTH, PAIR_IDS)
+    n = F.size(F.filter("attention_mask", lambda x: x == 1)).cast("bigint")
+    return rows.select(*PAIR_IDS, "split", n.alias("n_words"), F.array_join("input_ids", " ").alias("input_ids"))

@@ -50,7 +50,7 @@ def prepare_training(
     """Split samples -> fixed-length rows, with a vocabulary from the train part."""
     texts = samples.select(*ids, "split", training_text("text").alias("text"))
     vocab = encode.learn_vocab(texts.where(F.col("split") == "train"), vocab_size)
-    return encode.encode(texts, vocab, max_length)
+    return encode.encode(texts, vocab, max_length, [*ids, "split"])
 
 
 def evaluate(

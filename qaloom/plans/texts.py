@@ -408,3 +408,49 @@ def _(spark, sf):
 def _(spark, sf):
     method = F.when(F.col("page_id") % 2 == 0, "lora").otherwise("other")
     return table(spark, sf, "pages").select("page_id", X.artifact_name("url", method).alias("name"))
+
+
+# pairs with what the shipped lists look for put in by column code, a different thing per row
+def _put_in(text: str, question: str, n: str) -> str:
+    return f"""CASE {n} WHEN 1 THEN '{R.H} ' || {question} || chr(10) || '{R.A} ok'
+      WHEN 2 THEN {text} || ' {R.H} more' WHEN 3 THEN {text} || {q(' ' + fv.REPORT_EXPERTS[0])}
+      WHEN 4 THEN {text} || {q(' ' + fv.REPORT_TOOLS[0])} WHEN 5 THEN {text} || {q(' ' + fv.REPORT_KEYWORDS[0].upper())}
+      WHEN 6 THEN {question} WHEN 7 THEN {text} || {q(' ' + fv.GATE_TOOLS[0] + ' ' + fv.GATE_EXPERTS[-1])}
+      WHEN 8 THEN {text} || {q(' ' + fv.FAKE_EXPERT[0] + fv.FAKE_PARAMETER[0] + fv.FAKE_TOOL[0])} ELSE {text} END"""
+
+
+_DEFAULT_FLAGS = {
+    "gate": sql_flags(
+        _case(f"length({sql_answer('text')}) < 100", fv.GATE_FLAGS[0]),
+        _case(sql_any("text", fv.GATE_EXPERTS), fv.GATE_FLAGS[1]),
+        _case(sql_any("text", fv.GATE_TOOLS), fv.GATE_FLAGS[2]),
+        _case(f"NOT {sql_any('lower(text)', fv.GATE_KEYWORDS)}", fv.GATE_FLAGS[3]),
+    ),
+    "existing": sql_flags(
+        _case(sql_any("text", fv.FAKE_EXPERT), fv.FLAG_EXPERT),
+        _case(sql_any("text", fv.FAKE_PARAMETER), fv.FLAG_PARAMETER),
+        _case(sql_any("text", fv.FAKE_TOOL), fv.FLAG_TOOL),
+    ),
+    "report": sql_flags(
+        _case(sql_any("text", fv.REPORT_EXPERTS), fv.FLAG_EXPERT),
+        _case(sql_any("text", fv.REPORT_TOOLS), fv.FLAG_TOOL_OR_PARAMETER),
+        f"CASE WHEN length({sql_answer('text')}) < 100 THEN 'Answer too short (' || length({sql_answer('text')}) || ' chars)' END",
+        _case(f"NOT {sql_any('lower(text)', fv.REPORT_KEYWORDS)}", fv.FLAG_NO_KEYWORD),
+        _case(f"{R.sql_count('text', R.H)} > 1 OR {R.sql_count('text', R.A)} > 1", fv.FLAG_MULTIPLE),
+    ),
+}
+
+
+@query(
+    "flags_default",
+    f"""WITH {SQL_PAIRS}, put AS (SELECT conv_id, turn, {_put_in('text', 'question', '(conv_id + turn) % 10')} AS text FROM pairs)
+    SELECT conv_id, turn, {', '.join(
+        f"CASE WHEN {R.sql_is_qa('text')} THEN array_to_string({flags}, '|') ELSE '' END AS {name}"
+        for name, flags in _DEFAULT_FLAGS.items()
+    )} FROM put""",
+)
+def _(spark, sf):
+    text = F.expr(_put_in("text", "question", "(conv_id + turn) % 10"))
+    put = R.pairs(spark, sf).select("conv_id", "turn", text.alias("text"))
+    flags = (F.array_join(C.quality_flags("text", name), "|").alias(name) for name in _DEFAULT_FLAGS)
+    return put.select("conv_id", "turn", *flags)
