@@ -10,6 +10,8 @@ from qaloom.operators.ordered import number_rows
 from qaloom.plans import relations as R
 from qaloom.plans.registry import query
 from qaloom.plans.relations import A, H, SQL_METRICS, SQL_PAIRS, big, sql_round, table
+from qaloom.session import work_path
+from qaloom.sources.logs import read_training_log
 
 # --- training health -------------------------------------------------------------------
 
@@ -179,3 +181,34 @@ def _(spark, sf):
         F.struct(F.lit("assistant").alias("role"), F.col("answer").alias("content")),
     )
     return R.pairs(spark, sf).select("conv_id", "turn", render_messages(messages).alias("rendered"))
+
+
+# ten runs' events, each written as one file: an array of records for even runs, an object with
+# a nested history for odd ones, both closed by a record with the run's totals
+@query(
+    "training_log_forms",
+    f"""WITH {SQL_METRICS}, ten AS (SELECT run_id % 10 AS run, step, loss FROM metrics)
+    SELECT 'run=' || run AS run_id, count(*) AS n_logged, max(step) AS last_step,
+      CAST(arg_min(CASE WHEN isnan(loss) THEN 'NaN' ELSE CAST(CAST(round(loss * 1000) AS BIGINT) AS VARCHAR) END, step) AS VARCHAR) AS first_loss,
+      CAST(arg_max(CASE WHEN isnan(loss) THEN 'NaN' ELSE CAST(CAST(round(loss * 1000) AS BIGINT) AS VARCHAR) END, step) AS VARCHAR) AS last_loss,
+      CAST(count(*) AS DOUBLE) * 2 AS train_runtime, CAST(max(step) AS DOUBLE) / 4 AS train_loss
+    FROM ten GROUP BY run""",
+)
+def _(spark, sf):
+    path = work_path(spark, "logs")
+    ten = R.metrics(spark, sf).withColumn("run", F.col("run_id") % 10)
+    record = F.struct("step", "loss", "train_runtime", "train_loss")
+    none = F.lit(None).cast("double")
+    events = ten.select("run", "step", "loss", none.alias("train_runtime"), none.alias("train_loss"))
+    closing = ten.groupBy("run").agg(F.count("*").alias("n"), F.max("step").alias("step")).select(
+        "run", "step", none.alias("loss"), (F.col("n") * 2.0).alias("train_runtime"), (F.col("step") / 4).alias("train_loss")
+    )
+    files = events.unionByName(closing).groupBy("run").agg(F.collect_list(record).alias("log_history"))
+    whole = F.when(F.col("run") % 2 == 0, F.to_json("log_history")).otherwise(F.to_json(F.struct("log_history")))
+    files.select("run", whole.alias("value")).write.partitionBy("run").text(path)
+    log = read_training_log(spark, f"{path}/run=*")
+    summary = monitor.run_summary(log)
+    shown = lambda c: F.when(F.isnan(c), "NaN").otherwise(F.round(F.col(c) * 1000).cast("bigint").cast("string")).alias(c)
+    return summary.select(
+        "run_id", "n_logged", "last_step", shown("first_loss"), shown("last_loss"), "train_runtime", "train_loss"
+    )
