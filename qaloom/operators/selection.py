@@ -30,13 +30,13 @@ def _key(order: Sequence[str], tie: Column) -> Column:
     return F.struct(*(F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)), tie.alias("tie"))
 
 
-def ranked_keys(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def ranked_keys(df: DataFrame, order: Sequence[str], tie: Column | None = None) -> DataFrame:
     """A table ``key, id`` of ``df``'s keys, whose ids count up inside each range of keys.
 
     Equal keys may lie in one range only, and ranges are about equally long, so no
     key column can fill a task unless one key does.
     """
-    keys = df.select(_key(order, _tie(df)).alias("key"))
+    keys = df.select(_key(order, _tie(df) if tie is None else tie).alias("key"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     in_order = keys.repartitionByRange(parts, "key").sortWithinPartitions("key")
     return materialise(in_order.withColumn("id", F.monotonically_increasing_id()))
@@ -80,23 +80,33 @@ def after(df: DataFrame, order: Sequence[str], key: tuple) -> Column:
     return ~up_to(df, order, key)
 
 
-def mark_first(df: DataFrame, order: Sequence[str], n: int, out: str, ranked: DataFrame | None = None) -> DataFrame:
+def mark_first(
+    df: DataFrame,
+    order: Sequence[str],
+    n: int,
+    out: str,
+    ranked: DataFrame | None = None,
+    tie: Column | None = None,
+) -> DataFrame:
     """Add the boolean ``out``: whether a row is among the first ``n`` by ``order``.
 
     The order is total for any column types: nulls come first, ties go by a hash of the
     whole row, and of equal rows any are as good. Exactly ``min(n, rows)`` rows are
-    marked. ``df`` is read twice, so it must not vary.
+    marked. ``df`` is read twice, so it must not vary. With a ``tie`` of its own (and
+    keys ranked with it) rows are hashed only if that leaves equals on both sides of the cut.
     """
     order = list(order)
-    ranked = ranked_keys(df, order) if ranked is None else ranked
+    ranked = ranked_keys(df, order, tie) if ranked is None else ranked
     found = nth(ranked, n)
     if found is None:
         return df.withColumn(out, F.lit(n >= 1))
-    key, bound = _key(order, _tie(df)), _bound(df, order, found["key"])
+    key, bound = _key(order, _tie(df) if tie is None else tie), _bound(df, order, found["key"])
     before, same = ranked.agg(F.count_if(F.col("key") < bound), F.count_if(F.col("key") == bound)).first()
     marked = df.withColumn(out, key <= bound)
     if before + same == n:
         return marked
+    if tie is not None:
+        return mark_first(df, order, n, out)
     # equal rows on both sides of the cut: one of them stands for all
     copies = F.explode(F.transform(F.sequence(F.lit(1), F.lit(same)), lambda i: i <= n - before))
     one = df.where(key == bound).limit(1)
@@ -123,9 +133,10 @@ def split_exact(df: DataFrame, ids: Sequence[str], test_fraction: float = 0.2, s
     """
     ids = list(ids)
     hashed = df.withColumn("_h", split_hash(ids, seed))
-    ranked = ranked_keys(hashed, ["_h", *ids])
+    same = F.lit(0).cast("long")  # ids are mostly unique, so rows need no hash
+    ranked = ranked_keys(hashed, ["_h", *ids], same)
     n_test = math.ceil(test_fraction * ranked.count())
-    marked = mark_first(hashed, ["_h", *ids], n_test, "_test", ranked)
+    marked = mark_first(hashed, ["_h", *ids], n_test, "_test", ranked, same)
     return marked.withColumn("split", F.when(F.col("_test"), "test").otherwise("train")).drop("_h", "_test")
 
 

@@ -19,8 +19,8 @@ def same(a, b):
 
 def fed(df, key, order, path, operator):
     """A table through a stream in four micro-batches at least."""
-    per_trigger = write_slices(df, key, order, f"{path}/in")
-    stream = stream_table(df.sparkSession, f"{path}/in", per_trigger=per_trigger)
+    write_slices(df, key, order, f"{path}/in")
+    stream = stream_table(df.sparkSession, f"{path}/in", per_trigger=2)
     rows = run_to_table(operator(stream), str(path)).collect()
     assert len(list((path / "checkpoint/commits").glob("[0-9]*"))) >= 3
     return rows
