@@ -200,7 +200,9 @@ def fit_rates(members: DataFrame, targets: dict[str, float], iterations: int = I
         got = members.select(rate.alias("r"), tokens.alias("t"), "p").agg(
             *(F.sum(F.col("r") * F.col("t") * F.col("p")[k]).alias(f"s{k}") for k in ks)
         )
-        have = np.array(list(got.first()))
+        before, have = have, np.array(list(got.first()))
+        if np.abs(have - before).max() <= TOLERANCE * want.sum():
+            break  # no rates come closer to the targets
     return moves
 
 

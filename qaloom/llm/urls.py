@@ -143,12 +143,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] | None = None, url_col: s
         .agg(F.max(F.struct("rank", "rule", "verdict")).alias("best"))
     )
     url = F.coalesce("_url", F.lit(""))
-    return given.join(best, F.col("_url") == F.col("url"), "left").select(
+    best = best.withColumnRenamed("url", "_judged").withColumnRenamed("best", "_best")
+    return given.join(best, F.col("_url") == F.col("_judged"), "left").select(
         *(F.col(f"`{c}`") for c in keep),
         host_of(url).alias("host"),
         path_of(url).alias("path"),
-        F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit(DEFAULT)).alias("verdict"),
+        F.col("_best.rule").alias("rule"),
+        F.coalesce("_best.verdict", F.lit(DEFAULT)).alias("verdict"),
     )
 
 
