@@ -27,15 +27,20 @@ BLOCK_TAGS = frozenset(
     "nav object ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: elements whose content is no text of the page
+#: elements whose content is raw and no text of the page, with what ends them
+RAW = {
+    name: re.compile(rf"</{name}(?=[\s/>])[^>]*+(?:>|\Z)", re.IGNORECASE)
+    for name in ("script", "style", "textarea", "title")
+}
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|svg|math)\b.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)"""
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
+#: the end of a tag's attributes when its last slash belongs to a value without quotes
+OPEN_VALUE = re.compile(r"""=\s*[^\s"']*/\Z""")
 NAME_PART = re.compile(r"[a-z]+")
 
 
@@ -60,8 +65,10 @@ def leaf_blocks(page: str) -> list[Block]:
 
     A block ends where a block element begins or ends. An open paragraph ends at the
     next block element, a closing tag ends all that is open inside its element, and
-    one without an open element is ignored. White space in a block is one space;
-    blocks without text are left out. Unclosed markup runs to the end of the page.
+    one without an open element is ignored. A self-closed element is empty. Only the
+    content of ``RAW`` elements is skipped; text in svg, math or noscript has them as
+    ancestors. White space in a block is one space; blocks without text are left out.
+    Unclosed markup runs to the end of the page.
     """
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
@@ -85,18 +92,23 @@ def leaf_blocks(page: str) -> list[Block]:
             now.parts.append(text)
             now.linked += len(text) if links else 0
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
-        name = m[3]
+        name = m[2]
         if not name:
             continue
         name = name.lower()
+        empty = m[3].endswith("/") and not OPEN_VALUE.search(m[3])
+        if name in RAW and not m[1] and not empty:
+            close = RAW[name].search(page, m.end(2))
+            at = close.end() if close else len(page)
+            continue
         block = name in BLOCK_TAGS
         if block:
             end_block()
-        if m[2]:
+        if m[1]:
             if any(tag == name for tag, _ in stack):
                 while stack:
                     tag, _ = stack.pop()
@@ -112,8 +124,9 @@ def leaf_blocks(page: str) -> list[Block]:
                 if opened is not None and stack[opened][0] == "p":
                     links -= sum(tag == "a" for tag, _ in stack[opened:])
                     del stack[opened:]
-            stack.append((name, _mark(name, m[4])))
-            links += name == "a"
+            if not empty:
+                stack.append((name, _mark(name, m[3])))
+                links += name == "a"
     if at < len(page):
         add(page[at:])
     end_block()
