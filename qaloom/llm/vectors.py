@@ -19,7 +19,8 @@ BLOCK = 1024
 LEAD = 8
 EDGE = 1e-9
 CELLS = 4096
-MAX_DIMENSIONS = 1024
+#: so many leading components are turned to the principal axes; those after them stay as they are
+ROTATED = 1024
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -32,16 +33,23 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _turn(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Rows along the axes, and their components past the axes as they are; lengths and products stay the same."""
+    n = len(axes)
+    return x @ axes[: x.shape[1]] if x.shape[1] <= n else np.concatenate((x[:, :n] @ axes, x[:, n:]), axis=1)
+
+
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's sum of outer products of its unit vectors, a row of the matrix at a time."""
+    """A task's sum of outer products of its unit vectors' leading components, a row of the matrix at a time."""
     total = np.zeros((0, 0))
     for batch in batches:
         for dim in np.unique(batch.column("dim").to_numpy()):
             x = _matrix(batch.filter(pc.equal(batch.column("dim"), int(dim))).column("vector"))
-            x = _unit(x)
-            if dim > len(total):
-                total = np.pad(total, (0, int(dim) - len(total)))
-            total[:dim, :dim] += x.T @ x
+            x = _unit(x)[:, :ROTATED]
+            size = x.shape[1]
+            if size > len(total):
+                total = np.pad(total, (0, size - len(total)))
+            total[:size, :size] += x.T @ x
     i, j = np.indices(total.shape)
     yield pa.RecordBatch.from_arrays(
         [pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "v"]
@@ -51,8 +59,9 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def principal_axes(vectors: DataFrame) -> np.ndarray:
     """Orthonormal axes, the one with most of the vectors' squared length first.
 
-    From the second moments of all vectors (shorter ones count as padded with
-    zeros); the sums are added up by Spark, and only the matrix reaches the driver.
+    From the second moments of the leading ``ROTATED`` components of all vectors
+    (shorter ones count as padded with zeros); the sums are added up by Spark, and
+    only the matrix reaches the driver.
     """
     parts = vectors.mapInArrow(_moments, "i int, j int, v double")
     rows = parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
@@ -136,7 +145,7 @@ def _compare_tiles(axes: np.ndarray, threshold: float):
         raw = _matrix(batch.column("vector"))
         ids, copies = batch.column("node").to_numpy(), batch.column("copies").to_numpy()
         second = batch.column("second").to_numpy(zero_copy_only=False)
-        unit = _unit(raw) @ axes[: raw.shape[1]]
+        unit = _turn(_unit(raw), axes)
         a = np.flatnonzero(~second)
         b = np.flatnonzero(second) if second.any() else a
         links = np.zeros(len(ids), dtype=np.int64)
@@ -183,7 +192,8 @@ def _place(axes: np.ndarray, lead: int):
         for batch in batches:
             for s, e in zip(*runs_of(batch.column("dim").to_numpy())) if batch.num_rows else ():
                 part = batch.slice(s, e - s)
-                at = _unit(_matrix(part.column("vector"))) @ axes[: part.column("dim")[0].as_py(), :lead]
+                x = _unit(_matrix(part.column("vector")))[:, : len(axes)]
+                at = x @ axes[: x.shape[1], :lead]
                 ends = pa.array(np.arange(0, at.size + 1, lead), pa.int32())
                 yield part.append_column("at", pa.ListArray.from_arrays(ends, pa.array(at.ravel())))
 
@@ -193,6 +203,7 @@ def _place(axes: np.ndarray, lead: int):
 def _blocks(placed: DataFrame, block: int) -> DataFrame:
     """``placed`` with ``block``: about ``block`` neighbours along the first axis in each.
 
+    Blocks of vectors past ``ROTATED`` components have fewer rows, so that all hold about as many numbers.
     Counts of ``CELLS`` cells per label give the places of the cuts; the vectors of one
     cell are dealt over its places by a hash, so that a dense cell is several blocks.
     """
@@ -203,7 +214,8 @@ def _blocks(placed: DataFrame, block: int) -> DataFrame:
     cells = rows.groupBy(*key, "cell").agg(F.count("*").alias("n"))
     cells = cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     part = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    place = F.floor((F.col("before") + F.col("n") * part) / block).cast("long")
+    rows_in = F.greatest(F.lit(1), F.floor(F.lit(block * ROTATED) / F.greatest(F.col("dim"), F.lit(ROTATED))))
+    place = F.floor((F.col("before") + F.col("n") * part) / rows_in).cast("long")
     return rows.join(cells, [*key, "cell"]).withColumn("block", place).drop("cell", "n", "before")
 
 
@@ -272,8 +284,8 @@ def vector_groups(
     link with nothing. Equal vectors are compared once and counted as often as they
     occur, so a group of copies of any size is one vector. ``component_id`` is the
     smallest id reachable, ``kept`` says whether that is the row's own. A null id
-    gives no name to its group. Repeated rows are rows of their own. Vectors of over
-    ``MAX_DIMENSIONS`` components raise an error. An empty table gives an empty table.
+    gives no name to its group. Repeated rows are rows of their own. Vectors may have
+    any number of components. An empty table gives an empty table.
     """
     given = vectors.select(
         F.col(f"`{id_col}`").cast("long").alias("id"),
@@ -282,8 +294,7 @@ def vector_groups(
     )
     fine = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     fine = F.coalesce(fine, F.lit(False)) & F.exists("vector", lambda v: v != 0) & F.col("label").isNotNull()
-    too_long = F.when(F.size("vector") > MAX_DIMENSIONS, F.raise_error(F.lit("too many dimensions")))
-    given = given.withColumn("key", F.when(fine, F.coalesce(too_long, F.xxhash64("label", "vector"))))
+    given = given.withColumn("key", F.when(fine, F.xxhash64("label", "vector")))
     distinct = given.where("key is not null").groupBy("key", "label", "vector")
     nodes = materialise(
         distinct.agg(F.min("id").alias("first"), F.count("*").alias("copies")).select(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from qaloom.llm import extraction
+import numpy as np
+import pytest
+
+from qaloom.llm import extraction, vectors
+from test_llm_records import plain_vectors
 
 
 def test_only_raw_elements_are_skipped():
@@ -19,3 +23,18 @@ def test_only_raw_elements_are_skipped():
     linked = blocks("<p><a href=/x/>text</a> and <a name='y'/>more")[0]
     assert linked.text == "text and more" and linked.linked == 4
 
+
+@pytest.mark.parametrize("block", [vectors.BLOCK, 4])
+def test_vectors_of_any_length(spark, block, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = []
+    for size in (1024, 1025, 1536, 3072):
+        centres = rng.normal(size=(3, size))
+        near = lambda i: centres[i % 3] + rng.normal(size=size) * rng.choice([0.1, 0.4, 1])  # noqa: B023, E731
+        rows += [(len(rows) + i, near(i).tolist(), i % 2) for i in range(24)]
+    # vectors that differ past the leading components only
+    rows += [(900 + i, [1.0] * 1024 + [3.0 * i] * 512, 5) for i in range(-3, 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = vectors.vector_groups(df, block=block).collect()
+    want = plain_vectors(rows)
+    assert sorted(map(tuple, found), key=repr) == want and sum(r[1] > 0 for r in want) > 10
