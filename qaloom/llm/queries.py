@@ -38,12 +38,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after loading all documents, recounting without license lines, and taking toxic ones out."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     ledger = token_counts.TokenLedger(spark, work_path(spark, "token-ledger"))
-    load = token_counts.counted(docs, "insert", "words-1").unionByName(token_counts.counted(docs, "insert", "words-2"))
+    rows = token_counts.counted_rows
+    load = rows(docs, "insert", "words-1").unionByName(rows(docs, "insert", "words-2"))
     ledger.apply("load", load)
     licensed = docs.where(F.col("text").contains(LICENSE))
     trimmed = F.array_join(F.filter(F.split("text", "\n"), lambda line: ~line.contains(LICENSE)), "\n")
-    ledger.apply("trim", token_counts.counted(licensed.withColumn("text", trimmed), "revise", "words-1"))
-    ledger.apply("takedown", token_counts.deletions(labels.where("toxic = 1 AND doc_id IS NOT NULL"), "words-2"))
+    ledger.apply("trim", rows(licensed, "revise", "words-1", trimmed))
+    toxic = labels.where("toxic = 1 AND doc_id IS NOT NULL")
+    gone = token_counts.deletions(toxic, "words-2")
+    # whether a document without id is among the toxic ones is unknown, so it isn't counted where they are left out
+    unknown = docs.where("doc_id IS NULL").join(F.broadcast(toxic.limit(1).select(F.lit(1).alias("one"))), how="left_semi")
+    ledger.apply("takedown", gone.unionByName(rows(unknown, "delete", "words-2"), allowMissingColumns=True))
     ledger.apply("load", load)  # a batch that comes again changes nothing
     return ledger.totals()
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +16,13 @@ TOKENIZERS = {
     "words-2": r"[\p{L}\p{N}]+",
 }
 
-KEY = ["doc_id", "tokenizer"]
+KEY = ["doc_id", "tokenizer", "part"]
 GROUP = ["tokenizer", "source", "lang"]
-ENTRY = "doc_id long, tokenizer string, source string, lang string, docs long, tokens long, batch string"
+ENTRY = "doc_id long, tokenizer string, part long, source string, lang string, docs long, tokens long, batch string"
 TOTAL = "tokenizer string, source string, lang string, docs long, tokens long, batch string"
 CHANGE = "op string, doc_id long, tokenizer string, source string, lang string, tokens long"
+#: columns that a table of changes may have as well, null where it hasn't
+EXTRA = "part long, docs long"
 
 
 def count_tokens(text: Column, tokenizer: str) -> Column:
@@ -25,7 +30,7 @@ def count_tokens(text: Column, tokenizer: str) -> Column:
     return F.regexp_count(text_of(text), F.lit(TOKENIZERS[tokenizer])).cast("long")
 
 
-def counted(docs: DataFrame, op: str, tokenizer: str) -> DataFrame:
+def counted(docs: DataFrame, op: str, tokenizer: str, text_col: str = "text", *more: Column) -> DataFrame:
     """Changes ``op`` (insert or revise) of all rows of ``docs``, counted under ``tokenizer``."""
     return docs.select(
         F.lit(op).alias("op"),
@@ -33,10 +38,24 @@ def counted(docs: DataFrame, op: str, tokenizer: str) -> DataFrame:
         F.lit(tokenizer).alias("tokenizer"),
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
-        count_tokens(F.col("text"), tokenizer).alias("tokens"),
+        count_tokens(F.col(text_col), tokenizer).alias("tokens"),
+        *more,
     )
 
 
+def counted_rows(docs: DataFrame, op: str, tokenizer: str, text: Column | None = None) -> DataFrame:
+    """Changes ``op`` of all rows of ``docs``, each a document of its own, whatever ids repeat or are null.
+
+    ``part`` is a hash of the row's text, source and language, ``docs`` the number of equal rows.
+    ``text`` is what is counted in place of the row's text; the part stays the row's.
+    """
+    names = ("text", "source", "lang")
+    part = F.xxhash64(*names, *(F.col(c).isNull() for c in names)).alias("part")
+    given = docs.withColumn("_counted", F.col("text") if text is None else text)
+    rows = counted(given, op, tokenizer, "_counted", part)
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("docs"))
+
+
 def deletions(ids: DataFrame, tokenizer: str) -> DataFrame:
     """Changes that take the rows of ``ids`` (``doc_id``) out of ``tokenizer``'s totals."""
     none = F.lit(None).cast("string")
@@ -64,11 +83,16 @@ class TokenLedger:
     a batch twice, or losing executors or the driver in between, changes nothing.
 
     Inserting a document that is there revises it, revising one that isn't inserts
-    it, deleting one that isn't does nothing. A null ``tokens`` counts 0; changes with
-    a null ``doc_id`` or tokenizer are rejected with an error; null sources and languages
-    are groups of their own. Of several changes of a document in one batch the one
+    it, deleting one that isn't does nothing. A null ``tokens`` counts 0; null sources and
+    languages are groups of their own. Of several changes of a document in one batch the one
     with the most tokens stays, a delete only if it is alone; equal rows are one. An
     empty batch is committed and changes nothing.
+
+    Changes may have a ``part``, which tells documents with the same id or without id
+    apart, and ``docs``, how many equal documents one change stands for
+    (:func:`counted_rows`). A delete without a part takes out all parts of its id that
+    the batch doesn't state itself. Changes with a null tokenizer, or neither id nor part, are rejected
+    with an error.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -89,10 +113,13 @@ class TokenLedger:
         """Whether a batch is committed."""
         return bool(self._table("commits", "one int, batch string").where(F.col("batch") == batch).head(1))
 
-    def current(self) -> DataFrame:
-        """What every document counts for now: ``doc_id``, the group, ``tokens``."""
+    def _current(self) -> DataFrame:
         rows = self._committed("entries", ENTRY).groupBy(*KEY, "source", "lang")
-        return rows.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs > 0").drop("docs")
+        return rows.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs > 0")
+
+    def current(self) -> DataFrame:
+        """What every document counts for now: ``doc_id``, the group, ``tokens`` (of equal documents together)."""
+        return self._current().drop("docs", "part")
 
     def totals(self) -> DataFrame:
         """``tokenizer``, ``source``, ``lang``, ``n_docs``, ``n_tokens`` of groups with documents."""
@@ -104,16 +131,42 @@ class TokenLedger:
         """Apply a batch; false if it is committed already."""
         if self.has(batch):
             return False
-        bad = F.when(F.col("doc_id").isNull() | F.col("tokenizer").isNull(), F.raise_error(F.lit("change without a key")))
-        given = changes.select(*(c.split()[0] for c in CHANGE.split(", ")))
+        keyless = F.col("tokenizer").isNull() | (F.col("doc_id").isNull() & F.col("part").isNull())
+        bad = F.when(keyless, F.raise_error(F.lit("change without a key")))
+        extra = (
+            (F.col(name) if name in changes.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in map(str.split, EXTRA.split(", "))
+        )
+        given = changes.select(*(c.split()[0] for c in CHANGE.split(", ")), *extra)
+        stated = F.struct(
+            (F.col("op") != "delete").alias("stays"),
+            F.coalesce("tokens", F.lit(0)).alias("tokens"),
+            "source",
+            "lang",
+            F.coalesce("docs", F.lit(1)).alias("docs"),
+        )
         last = (
             given.withColumn("doc_id", F.coalesce(bad, F.col("doc_id")))
             .groupBy(*KEY)
-            .agg(F.max(F.struct((F.col("op") != "delete").alias("stays"), F.coalesce("tokens", F.lit(0)).alias("tokens"), "source", "lang")).alias("c"))
+            .agg(F.max(stated).alias("c"))
+        )
+        now = last.where("c.stays").select(
+            *KEY, "c.source", "c.lang", "c.docs", (F.col("c.tokens") * F.col("c.docs")).alias("tokens")
+        )
+        same = lambda names: reduce(and_, (F.col(f"b.{k}").eqNullSafe(F.col(f"l.{k}")) for k in names))
+        wide = last.where("NOT c.stays AND part IS NULL").select("doc_id", "tokenizer", F.lit(True).alias("taken"))
+        hit = F.col("met") | F.col("taken")
+        before = (
+            self._current()
+            .alias("b")
+            .join(last.select(*KEY, F.lit(True).alias("met")).alias("l"), same(KEY), "left")
+            .select("b.*", "met")
+            .alias("b")
+            .join(wide.alias("l"), same(KEY[:2]), "left")
+            .select("b.*", "taken")
+            .where(F.coalesce(hit, F.lit(False)))
         )
-        now = last.where("c.stays").select(*KEY, "c.source", "c.lang", F.lit(1).alias("docs"), "c.tokens")
-        before = self.current().join(last, KEY, "left_semi")
-        gone = before.select(*KEY, "source", "lang", F.lit(-1).alias("docs"), (-F.col("tokens")).alias("tokens"))
+        gone = before.select(*KEY, "source", "lang", (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
         entries = (
             now.unionByName(gone)
             .groupBy(*KEY, "source", "lang")
