@@ -183,8 +183,31 @@ def _(spark, sf):
     return R.pairs(spark, sf).select("conv_id", "turn", render_messages(messages).alias("rendered"))
 
 
-# ten runs' events, each written as one file: an array of records for even runs, an object with
-# a nested history for odd ones, both closed by a record with the run's totals
+#: about so many records make one file of a log
+LOG_RECORDS = 10_000
+
+
+def write_log_forms(metrics, path, records=LOG_RECORDS):
+    """Write each ``run`` of ``metrics`` as files below ``path/run=.../part=...``, of about ``records`` records each."""
+    record = F.struct("step", "loss", "train_runtime", "train_loss")
+    none = F.lit(None).cast("double")
+    totals = metrics.groupBy("run").agg(F.count("*").alias("n"), F.max("step").alias("last"))
+    part = F.pmod(F.xxhash64("run_id", "step", "loss"), F.ceil(F.col("n") / records)).alias("part")
+    sizes = totals.select(F.col("run").alias("of"), "n")
+    events = metrics.join(sizes, F.col("run").eqNullSafe(F.col("of"))).select(
+        "run", part, "step", "loss", none.alias("train_runtime"), none.alias("train_loss")
+    )
+    closing = totals.select(
+        "run", F.lit(0).alias("part"), F.col("last").alias("step"), none.alias("loss"),
+        (F.col("n") * 2.0).alias("train_runtime"), (F.col("last") / 4).alias("train_loss"),
+    )
+    files = events.unionByName(closing).groupBy("run", "part").agg(F.collect_list(record).alias("log_history"))
+    whole = F.when(F.col("run") % 2 == 0, F.to_json("log_history")).otherwise(F.to_json(F.struct("log_history")))
+    files.select("run", "part", whole.alias("value")).write.partitionBy("run", "part").text(path)
+
+
+# ten runs' events, written as files of a bounded number of records: an array of records for even
+# runs, an object with a nested history for odd ones, both closed by a record with the run's totals
 @query(
     "training_log_forms",
     f"""WITH {SQL_METRICS}, ten AS (SELECT run_id % 10 AS run, step, loss FROM metrics)
@@ -196,17 +219,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = work_path(spark, "logs")
-    ten = R.metrics(spark, sf).withColumn("run", F.col("run_id") % 10)
-    record = F.struct("step", "loss", "train_runtime", "train_loss")
-    none = F.lit(None).cast("double")
-    events = ten.select("run", "step", "loss", none.alias("train_runtime"), none.alias("train_loss"))
-    closing = ten.groupBy("run").agg(F.count("*").alias("n"), F.max("step").alias("step")).select(
-        "run", "step", none.alias("loss"), (F.col("n") * 2.0).alias("train_runtime"), (F.col("step") / 4).alias("train_loss")
+    write_log_forms(R.metrics(spark, sf).withColumn("run", F.col("run_id") % 10), path)
+    log = read_training_log(
+        spark, f"{path}/run=*/part=*", run=F.regexp_extract("_metadata.file_path", "/(run=[^/]+)/part=", 1)
     )
-    files = events.unionByName(closing).groupBy("run").agg(F.collect_list(record).alias("log_history"))
-    whole = F.when(F.col("run") % 2 == 0, F.to_json("log_history")).otherwise(F.to_json(F.struct("log_history")))
-    files.select("run", whole.alias("value")).write.partitionBy("run").text(path)
-    log = read_training_log(spark, f"{path}/run=*")
     summary = monitor.run_summary(log)
     shown = lambda c: F.when(F.isnan(c), "NaN").otherwise(F.round(F.col(c) * 1000).cast("bigint").cast("string")).alias(c)
     return summary.select(
