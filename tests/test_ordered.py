@@ -125,6 +125,25 @@ def test_sparse_orders_make_few_blocks(spark):
     assert 8 <= len(hot) <= 13 and max(hot) <= 130 and blocks.where("k <> 0").count() == 2000
 
 
+def test_a_key_with_one_order_value_is_split(spark):
+    # an order column that is tied or null throughout: the row's hash cuts it
+    df = spark.range(2000).select(F.lit(1).alias("k"), F.lit(None).cast("bigint").alias("o"), F.col("id").alias("v"))
+    sizes = [r["count"] for r in with_blocks(df, ["k"], "o", span=100).groupBy("_block").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 100 and 20 <= len(sizes) <= 30
+    tied = df.withColumn("o", F.lit(3))
+    small, large = (number_rows(tied, ["k"], "o", "n", span).collect() for span in (100, 10**6))
+    assert sorted((r.v, r.n) for r in small) == sorted((r.v, r.n) for r in large)
+    assert sorted(r.n for r in small) == list(range(1, 2001))
+
+
+def test_cuts_follow_all_order_columns(spark):
+    # few pages, many attempts: blocks are cut inside a page, in the order of attempts
+    df = spark.range(1000).select(F.lit("r").alias("k"), (F.col("id") % 2).alias("a"), F.col("id").cast("string").alias("b"))
+    got = number_rows(df, ["k"], ["a", "b"], "n", span=64).orderBy("n").collect()
+    rows = [(r.a, r.b) for r in got]
+    assert rows == sorted(rows) and [r.n for r in got] == list(range(1, 1001))
+
+
 def test_split_by_hash_is_about_right(spark):
     df = split_by_hash(spark.range(5000), ["id"])
     assert 850 < df.where("split = 'test'").count() < 1150
