@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaloom.llm import extraction, lines, mixing, pieces, pii, quality, simhash, token_counts, urls, vectors
+from qaloom.llm import extraction, lines, mixing, pieces, pii, quality, simhash, token_counts, turns, urls, variants, vectors, warc
 
 from qaloom.session import work_path
 
@@ -150,6 +150,26 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_groups(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back."""
+    path = work_path(spark, "warc")
+    warc.write_archive(read(spark, sf_dir, "pages"), path)
+    found = warc.page_records(warc.read_archive(spark, path))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of damaged conversations and their cheapest repair."""
+    conversations = read(spark, sf_dir, "conversations")
+    return turns.repair_report(turns.damaged(conversations), conversations)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents, the near words they have and the form each stands for."""
+    found = variants.spelling_variants(variants.word_counts(read(spark, sf_dir, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_token_counts": op2_token_counts,
@@ -161,10 +181,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_warc": op11_warc,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
     "op2_token_counts": SQL_OP2,
     "op3_line_dedup": SQL_OP3,
     "op7_url_filters": urls.judge_sql(),
+    "op11_warc": warc.JUDGE_SQL,
 }
