@@ -18,7 +18,7 @@ from qaloom.plans.texts import SQL_GATE, sql_technical
 from qaloom.session import work_path
 from qaloom.sources.pages import page_scan
 from qaloom.streaming import stateful
-from qaloom.streaming.tables import run_to_table, stream_table, write_slices
+from qaloom.streaming.tables import run_to_table, stream_table
 
 
 def extract(prompt: str) -> str:
@@ -177,10 +177,10 @@ def _(spark, sf):
 # --- streams -------------------------------------------------------------------------------
 
 
-def _fed(df, key, order, path):
-    """A table as a stream of several micro-batches in order."""
-    per_trigger = write_slices(df, key, order, f"{path}/in")
-    return stream_table(df.sparkSession, f"{path}/in", per_trigger=per_trigger)
+def _fed(df, path):
+    """A table as a stream of its files, written once; the operators put rows in order themselves."""
+    df.write.parquet(f"{path}/in")
+    return stream_table(df.sparkSession, f"{path}/in")
 
 
 @query(
@@ -195,7 +195,7 @@ def _fed(df, key, order, path):
 )
 def _(spark, sf):
     path = work_path(spark, "health")
-    events = _fed(R.metrics(spark, sf), "run_id", "step", path)
+    events = _fed(R.metrics(spark, sf), path)
     watched = run_to_table(stateful.health_stream(events), path)
     return watched.withColumn("avg_loss", mean_as_text("avg_loss"))
 
@@ -207,7 +207,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = work_path(spark, "chat")
-    turns = _fed(table(spark, sf, "conversations"), "conv_id", "turn", path)
+    turns = _fed(table(spark, sf, "conversations"), path)
     return run_to_table(stateful.chat_stream(turns), path)
 
 

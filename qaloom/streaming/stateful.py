@@ -1,27 +1,28 @@
-"""Event-at-a-time operators on streams, with one small state per key.
-
-Inside a micro-batch the rows of a key are put in order first. A row at or
-before the last position already seen is late: it is reported and not applied.
-The source's trigger limits (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``)
-bound what a micro-batch holds for one key.
-
-With ``idle_ms`` a key without rows for so long loses its state, so that states don't
-add up for ever; a later row of it starts anew. Streams that go on should set it
-(``IDLE_MS`` is a week). One that runs over what is there and ends must not, since
-Spark goes on with empty batches as long as something may time out.
+"""Event-at-a-time operators on streams, with a small typed state per key.
+
+They run on ``transformWithState``. A micro-batch may bring a key's rows in any order and
+any number: rows of more than one Arrow batch are laid into a map state by ranges of their
+position and taken out range by range, so that a task holds one batch and one range,
+whatever share of the rows a key has. A row at or before the last position applied
+is late: it is reported and not applied.
+
+With ``idle_ms`` a timer drops the state of a key without rows for so long, so that states
+don't add up for ever; a later row of it starts anew. ``clock`` says whether that
+is processing time or, for streams with a watermark, event time. Streams that go on should
+set it (``IDLE_MS`` is a week). One that runs over what is there and ends must not use
+processing time, since Spark goes on with empty batches as long as a timer may fire.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from qaloom import fixed_values as fv
 from qaloom.operators import chat, monitor
@@ -29,38 +30,18 @@ from qaloom.operators import chat, monitor
 HEALTH_OUT = (
     "run_id bigint, step bigint, bad_count bigint, status string, avg_loss double, no_mean boolean"
 )
-HEALTH_STATE = (
-    "n_seen bigint, bad_count bigint, last_loss double, recent array<double>, "
-    "stopped boolean, last_step bigint, n_late bigint"
-)
 CONTEXT_OUT = (
     "conv_id bigint, turn bigint, exchange_no bigint, n_past bigint, context string, "
     "occupancy string, is_late boolean"
 )
-CONTEXT_STATE = (
-    "n_exchanges bigint, questions array<string>, answers array<string>, "
-    "asked string, last_turn bigint"
-)
-
 
 IDLE_MS = 7 * 24 * 3600 * 1000
 OUT_ROWS = 10_000
-
-
-def _timeout(idle_ms: int | None) -> str:
-    return GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-
-
-def _in_order(frames: Iterator[pd.DataFrame], position: str, columns: list[str]) -> Iterator[tuple]:
-    """The rows of a key's micro-batch by position: arrays of its columns are held, frames are not."""
-    parts: list[list[np.ndarray]] = [[] for _ in columns]
-    for frame in frames:
-        for part, c in zip(parts, columns):
-            part.append(frame[c].to_numpy())
-    if parts[0]:
-        held = [np.concatenate(p) for p in parts]
-        for i in np.argsort(held[columns.index(position)], kind="stable"):
-            yield tuple(h[i] for h in held)
+#: positions that share an entry of the map state
+RANGE = 1_000
+CLOCKS = {"processing": "ProcessingTime", "event": "EventTime"}
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _in_frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
@@ -69,20 +50,89 @@ def _in_frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFra
         yield pd.DataFrame(part, columns=columns)
 
 
+def use_rocks(spark: SparkSession) -> None:
+    """These operators need the RocksDB state store, which takes the place of the default one in the session."""
+    if spark.conf.get(PROVIDER).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(PROVIDER, ROCKS)
+
+
+class _InOrder(StatefulProcessor):
+    """Rows of a key by position, and the end of keys that stay idle.
+
+    ``columns`` names the columns and their types, the position first.
+    """
+
+    columns: dict[str, str] = {}
+
+    def __init__(self, idle_ms: int | None, clock: str):
+        self.idle_ms, self.clock = idle_ms, clock
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        fields = ", ".join(f"{c} array<{kind}>" for c, kind in self.columns.items())
+        self.waiting = handle.getMapState("waiting", "part bigint", fields)
+
+    def by_position(self, frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        """The rows of a micro-batch in order; one frame is sorted at once, more go through the state."""
+        names = list(self.columns)
+        first = next(frames, None)
+        second = next(frames, None)
+        if second is None:
+            if first is not None:
+                yield from _sorted_rows([first[c].tolist() for c in names])
+            return
+        for frame in chain((first, second), frames):
+            for part, rows in frame.groupby(frame[names[0]] // RANGE, sort=False):
+                key = (int(part),)
+                held = self.waiting.getValue(key) if self.waiting.containsKey(key) else ([],) * len(names)
+                self.waiting.updateValue(key, tuple(list(h) + rows[c].tolist() for h, c in zip(held, names)))
+        for key in sorted(self.waiting.keys()):
+            yield from _sorted_rows([list(c) for c in self.waiting.getValue(tuple(key))])
+        self.waiting.clear()
+
+    def keep_alive(self, timers) -> None:
+        """Move the key's timer to ``idle_ms`` from now."""
+        if self.idle_ms is None:
+            return
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        now = timers.getCurrentProcessingTimeInMs() if self.clock == "processing" else timers.getCurrentWatermarkInMs()
+        self.handle.registerTimer(now + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.forget()
+        return iter(())
+
+    def forget(self) -> None:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+def _sorted_rows(columns: list[list]) -> Iterator[tuple]:
+    for i in sorted(range(len(columns[0])), key=columns[0].__getitem__):
+        yield tuple(c[i] for c in columns)
+
+
+def _run(rows: DataFrame, key: str, processor: _InOrder, out: str) -> DataFrame:
+    use_rocks(rows.sparkSession)
+    mode = "None" if processor.idle_ms is None else CLOCKS[processor.clock]
+    return rows.groupBy(key).transformWithStateInPandas(processor, out, "Append", mode)
+
+
 class RunHealth:
     """The monitor's state for one run."""
 
-    def __init__(self, patience: int, saved: tuple | None):
+    def __init__(self, patience: int, saved: tuple | None, recent: list[float]):
         self.patience = patience
         if saved is None:
-            saved = (0, 0, None, [], False, None, 0)
-        self.n_seen, self.bad, self.last, recent, self.stopped, self.step, self.late = saved
-        self.recent = list(recent)
+            saved = (0, 0, None, False, None, 0)
+        self.n_seen, self.bad, self.last, self.stopped, self.step, self.late = saved
+        self.recent = recent
 
     def saved(self) -> tuple:
-        return (
-            self.n_seen, self.bad, self.last, self.recent, self.stopped, self.step, self.late
-        )
+        return (self.n_seen, self.bad, self.last, self.stopped, self.step, self.late)
 
     def observe(self, step: int, loss: float, grad: float | None) -> tuple:
         """``(bad_count, status, avg_loss)`` of the next event."""
@@ -130,92 +180,117 @@ class RunHealth:
         return None
 
 
-def health_stream(
-    events: DataFrame, patience: int = monitor.PATIENCE, idle_ms: int | None = None
-) -> DataFrame:
-    """Health of every run, event by event, with the rolling loss where it is due.
+class _Health(_InOrder):
+    columns = {"step": "bigint", "loss": "double", "grad_norm": "double", "has_grad": "boolean"}
 
-    ``events`` holds ``run_id, step, loss, grad_norm``; on events in order the
-    result equals the batch form. Late events have the status ``late``.
-    """
-    given = ["step", "loss", "grad_norm", "has_grad"]
+    def __init__(self, patience: int, idle_ms: int | None, clock: str):
+        super().__init__(idle_ms, clock)
+        self.patience = patience
 
-    def watch(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        run = RunHealth(patience, state.get if state.exists else None)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        kinds = "n_seen bigint, bad_count bigint, last_loss double, stopped boolean, last_step bigint, n_late bigint"
+        self.run = handle.getValueState("run", kinds)
+        self.recent = handle.getListState("recent", "loss double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        saved = self.run.get() if self.run.exists() else None
+        recent = [r[0] for r in self.recent.get()] if saved is not None else []
+        run = RunHealth(self.patience, saved, recent)
 
         def seen() -> Iterator[tuple]:
-            for step, loss, grad, has in _in_order(frames, "step", given):
+            for step, loss, grad, has in self.by_position(rows):
                 row = run.observe(int(step), float(loss), float(grad) if has else None)
                 yield (key[0], int(step), *row, row[-1] is None)
 
         for frame in _in_frames(seen(), ["run_id", "step", "bad_count", "status", "avg_loss", "no_mean"]):
             yield frame.astype({"bad_count": "Int64", "avg_loss": "float64"})
-        state.update(run.saved())
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
+        self.run.update(run.saved())
+        if run.recent:
+            self.recent.put([(x,) for x in run.recent])
+        self.keep_alive(timerValues)
+
+    def forget(self) -> None:
+        self.run.clear()
+        self.recent.clear()
 
+
+def health_stream(
+    events: DataFrame, patience: int = monitor.PATIENCE, idle_ms: int | None = None, clock: str = "processing"
+) -> DataFrame:
+    """Health of every run, event by event, with the rolling loss where it is due.
+
+    ``events`` holds ``run_id, step, loss, grad_norm``; on events in order the
+    result equals the batch form. Late events have the status ``late``.
+    """
     # pandas holds a null number as NaN, so both ways a column of its own tells them apart
     told = events.where(F.col("loss").isNotNull()).select(
-        "run_id", "step", "loss", "grad_norm", F.col("grad_norm").isNotNull().alias("has_grad")
-    )
-    watched = told.groupBy("run_id").applyInPandasWithState(
-        watch, HEALTH_OUT, HEALTH_STATE, "append", _timeout(idle_ms)
+        "run_id",
+        F.col("step").cast("bigint").alias("step"),
+        F.col("loss").cast("double").alias("loss"),
+        F.col("grad_norm").cast("double").alias("grad_norm"),
+        F.col("grad_norm").isNotNull().alias("has_grad"),
     )
+    watched = _run(told, "run_id", _Health(patience, idle_ms, clock), HEALTH_OUT)
     mean = F.when(~F.col("no_mean"), F.coalesce("avg_loss", F.lit(float("nan"))))
     return watched.withColumn("avg_loss", mean).drop("no_mean")
 
 
-def chat_stream(
-    turns: DataFrame, cap: int = chat.MEMORY, k: int = chat.CONTEXT, idle_ms: int | None = None
-) -> DataFrame:
-    """Per finished exchange: its context and how full the conversation's memory then is.
+class _Chat(_InOrder):
+    columns = {"turn": "bigint", "role": "string", "text": "string"}
 
-    ``turns`` holds ``conv_id, turn, role, text``. An assistant turn finishes
-    the user turn directly before it. A late turn comes out with ``is_late`` and nothing else.
-    """
-    names = ["conv_id", "turn", "exchange_no", "n_past", "context", "occupancy", "is_late"]
+    def __init__(self, cap: int, k: int, idle_ms: int | None, clock: str):
+        super().__init__(idle_ms, clock)
+        self.cap, self.k = cap, k
 
-    def follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        n, questions, answers, asked, last = (
-            state.get if state.exists else (0, [], [], None, None)
-        )
-        questions, answers = list(questions), list(answers)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.talk = handle.getValueState("talk", "n_exchanges bigint, asked string, last_turn bigint")
+        self.memory = handle.getListState("memory", "question string, answer string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, asked, last = self.talk.get() if self.talk.exists() else (0, None, None)
+        memory = [tuple(r) for r in self.memory.get()] if n else []
 
         def finished() -> Iterator[tuple]:
-            nonlocal n, questions, answers, asked, last
-            for turn, role, text in _in_order(frames, "turn", ["turn", "role", "text"]):
-                turn = int(turn)
+            nonlocal n, asked, last, memory
+            for turn, role, text in self.by_position(rows):
                 if last is not None and turn <= last:
                     yield (key[0], turn, None, None, None, None, True)
                     continue
                 if role == "assistant" and asked is not None:
-                    past = [
-                        f"{fv.HUMAN} {q}\n{fv.ASSISTANT} {a}"
-                        for q, a in list(zip(questions, answers))[-k:]
-                    ]
+                    past = [f"{fv.HUMAN} {q}\n{fv.ASSISTANT} {a}" for q, a in memory[-self.k :]]
                     n += 1
-                    questions, answers = (questions + [asked])[-cap:], (answers + [text])[-cap:]
+                    memory = [*memory, (asked, text)][-self.cap :]
                     context = "\n".join([*past, f"{fv.HUMAN} {asked}\n{fv.ASSISTANT}"])
-                    yield (key[0], last, n, len(past), context, f"{len(questions)}/{cap}", False)
+                    yield (key[0], last, n, len(past), context, f"{len(memory)}/{self.cap}", False)
                 asked = text if role == "user" else None
                 last = turn
 
+        names = ["conv_id", "turn", "exchange_no", "n_past", "context", "occupancy", "is_late"]
         for frame in _in_frames(finished(), names):
             yield frame.astype({"exchange_no": "Int64", "n_past": "Int64"})
-        state.update((n, questions, answers, asked, last))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-
-    return (
-        turns.select("conv_id", "turn", "role", "text")
-        .groupBy("conv_id")
-        .applyInPandasWithState(
-            follow, CONTEXT_OUT, CONTEXT_STATE, "append", _timeout(idle_ms)
-        )
-    )
+        self.talk.update((n, asked, last))
+        if memory:
+            self.memory.put(memory)
+        self.keep_alive(timerValues)
+
+    def forget(self) -> None:
+        self.talk.clear()
+        self.memory.clear()
+
+
+def chat_stream(
+    turns: DataFrame,
+    cap: int = chat.MEMORY,
+    k: int = chat.CONTEXT,
+    idle_ms: int | None = None,
+    clock: str = "processing",
+) -> DataFrame:
+    """Per finished exchange: its context and how full the conversation's memory then is.
+
+    ``turns`` holds ``conv_id, turn, role, text``. An assistant turn finishes
+    the user turn directly before it. A late turn comes out with ``is_late`` and nothing else.
+    """
+    told = turns.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    return _run(told, "conv_id", _Chat(cap, k, idle_ms, clock), CONTEXT_OUT)

@@ -6,6 +6,7 @@ import math
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from qaloom.operators import chat, curate, monitor
 from qaloom.streaming import stateful
@@ -38,6 +39,41 @@ def test_health_stream(spark, tmp_path):
         assert same(r.avg_loss, means.get(key)) or r.avg_loss == pytest.approx(means[key])
 
 
+def test_a_key_with_most_rows_goes_through_the_state(spark, tmp_path):
+    # one run in many Arrow batches of shuffled rows, in one micro-batch
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    kept = spark.conf.get(size)
+    rows = [(1, s, float(s % 7 + 1), None) for s in range(0, 9000, 3)] + [(2, s, 1.0, 1.0) for s in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA).orderBy(F.rand(3))
+    df.write.parquet(f"{tmp_path}/in")
+    try:
+        spark.conf.set(size, 400)
+        got = run_to_table(stateful.health_stream(stream_table(spark, f"{tmp_path}/in")), str(tmp_path)).collect()
+    finally:
+        spark.conf.set(size, kept)
+    want = {(r.run_id, r.step): (r.status, r.bad_count) for r in monitor.health(df).collect()}
+    means = {(r.run_id, r.step): r.avg_loss for r in monitor.rolling_loss(df).collect()}
+    assert {(r.run_id, r.step): (r.status, r.bad_count) for r in got} == want and len(got) == len(rows)
+    assert all(r.avg_loss == pytest.approx(means.get((r.run_id, r.step))) for r in got if r.avg_loss is not None)
+    assert sum(r.avg_loss is not None for r in got) == len(means)
+
+
+def test_a_timer_drops_the_state_of_an_idle_key(spark, tmp_path):
+    def hour(h):
+        return f"2024-01-01 {h:02d}:00:00"
+
+    batches = [[(1, 5, hour(0)), (2, 5, hour(0))], [(2, 6, hour(5))], [(2, 7, hour(6))], [(1, 3, hour(7)), (2, 4, hour(7))]]
+    for i, batch in enumerate(batches):
+        df = spark.createDataFrame(batch, "run_id bigint, step bigint, at string")
+        df.selectExpr("run_id", "step", "1.0D loss", "NULL :: double grad_norm", "at :: timestamp at").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(1.1)
+    stream = stream_table(spark, f"{tmp_path}/in", per_trigger=1).withWatermark("at", "0 seconds")
+    watched = stateful.health_stream(stream, idle_ms=2 * 3600 * 1000, clock="event")
+    got = {(r.run_id, r.step): r.status for r in run_to_table(watched, f"{tmp_path}/out").collect()}
+    # run 1 was idle for longer than two hours, so its step 3 starts anew; run 2 was not, so 4 is late
+    assert got == {(1, 5): "ok", (2, 5): "ok", (2, 6): "ok", (2, 7): "ok", (1, 3): "ok", (2, 4): "late"}
+
+
 def test_late_events(spark, tmp_path):
     df = spark.createDataFrame([(1, 5, 1.0, None), (1, 9, 1.0, None)], SCHEMA)
     late = spark.createDataFrame([(1, 7, math.nan, None), (1, 10, 2.0, 120.0)], SCHEMA)
