@@ -1,8 +1,10 @@
 """Fixed-length integer rows from text, with a vocabulary learned from the corpus.
 
-Words meet their ids in a join, for a vocabulary of any size: Spark broadcasts a
-small one after looking at its size, and splits the partitions of frequent words
-where it does not.
+Rows are worked on one by one, whatever ids they bear: each gets a number of the library's
+own, and its text is dealt out by that number once. Words then meet their ids in a join
+for a vocabulary of any size. A small one is broadcast after a look at its size, and
+the row's words are put together where they are, so no word or position is shuffled;
+with a large one Spark shuffles words and splits the partitions of frequent ones.
 """
 
 from __future__ import annotations
@@ -54,6 +56,19 @@ def _padded(ids: Column, max_length: int, pad_id: int, multiple: int = 1) -> lis
     return [row.alias("input_ids"), seen.alias("attention_mask"), row.alias("labels")]
 
 
+def _dealt(df: DataFrame, keep: Sequence[str], payload: Column) -> DataFrame:
+    """``_keep`` (the columns ``keep`` as one value) and ``_given`` of every row, dealt out by ``_row``."""
+    kept = F.struct(F.lit(True).alias("_"), *(F.col(f"`{c}`") for c in keep)).alias("_keep")
+    return df.select(kept, payload.alias("_given")).withColumn("_row", F.monotonically_increasing_id()).repartition("_row")
+
+
+def _together(places: DataFrame, value: Column, keep: Sequence[str], out: str) -> DataFrame:
+    """The values of a row's places, in order, as the array ``out``; a row without places has an empty one."""
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", value.alias("v")))
+    rows = places.groupBy("_row").agg(F.first("_keep").alias("_keep"), F.array_sort(F.collect_list(entry)).alias("_entries"))
+    return rows.select(*(F.col(f"_keep.`{c}`").alias(c) for c in keep), F.col("_entries.v").alias(out))
+
+
 def token_ids(
     df: DataFrame,
     vocab: DataFrame,
@@ -64,22 +79,16 @@ def token_ids(
     eos_id: int = fv.END_TOKEN_ID,
     unknown_id: int = fv.UNKNOWN_ID,
 ) -> DataFrame:
-    """``ids`` and ``token_ids``: the ids of a text's words, of its first ``max_length`` if given.
+    """``ids`` and ``token_ids`` of every row: the ids of its words, of the first ``max_length`` if given.
 
-    ``ids`` are unique together. The left side of the join is the words, so a word that is
-    a twentieth of all words is a skewed partition that Spark splits by its size.
+    ``ids`` are any columns to keep; they may repeat or be null.
     """
-    occurrences = df.select(*ids, F.posexplode_outer(tokens(text, eos, max_length)).alias("pos", "token"))
+    dealt = _dealt(df, ids, F.col(f"`{text}`"))
+    places = dealt.select("_row", "_keep", F.posexplode_outer(tokens("_given", eos, max_length)).alias("pos", "token"))
     token_id = F.when(F.col("token") == eos, eos_id).otherwise(
         F.coalesce(F.col("token_id").cast("int"), F.lit(unknown_id))
     )
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", token_id.alias("id")))
-    return (
-        occurrences.join(vocab.select("token", "token_id"), "token", "left")
-        .groupBy(*ids)
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        .select(*ids, F.col("_entries.id").alias("token_ids"))
-    )
+    return _together(places.join(vocab.select("token", "token_id"), "token", "left"), token_id, ids, "token_ids")
 
 
 def encode(
@@ -95,16 +104,11 @@ def encode(
 ) -> DataFrame:
     """``ids``, ``input_ids``, ``attention_mask`` and ``labels`` of every row.
 
-    ``ids`` are columns that are unique together, by default all but the text.
+    ``ids`` are the columns to keep, by default all but the text.
     """
     ids = [c for c in df.columns if c != text] if ids is None else list(ids)
     encoded = token_ids(df, vocab, ids, text, max_length, eos, eos_id, unknown_id)
-    return encoded.select(*ids, *_padded(F.col("token_ids"), max_length, eos_id, multiple))
-
-
-def encode_by_join(df: DataFrame, vocab: DataFrame, max_length: int, ids: Sequence[str], **settings) -> DataFrame:
-    """:func:`encode`, which joins for any vocabulary."""
-    return encode(df, vocab, max_length, ids, **settings)
+    return encoded.select(*(F.col(f"`{c}`") for c in ids), *_padded(F.col("token_ids"), max_length, eos_id, multiple))
 
 
 def decode(
@@ -115,33 +119,36 @@ def decode(
     unknown: str = "<unk>",
     eos_id: int = fv.END_TOKEN_ID,
 ) -> DataFrame:
-    """``ids`` and ``decoded``: words joined by spaces, special ids skipped."""
-    kept = F.filter(F.col(encoded), lambda i: i != eos_id)
-    places = df.select(*ids, F.posexplode_outer(kept).alias("pos", "token_id"))
-    word = F.struct("pos", F.coalesce("token", F.lit(unknown)).alias("word"))
-    return (
-        places.join(vocab.select("token_id", "token"), "token_id", "left")
-        .groupBy(*ids)
-        .agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), word))).alias("_words"))
-        .select(*ids, F.array_join(F.col("_words.word"), " ").alias("decoded"))
-    )
+    """``ids`` and ``decoded`` of every row: words joined by spaces, special ids skipped."""
+    dealt = _dealt(df, ids, F.filter(F.col(f"`{encoded}`"), lambda i: i != eos_id))
+    places = dealt.select("_row", "_keep", F.posexplode_outer("_given").alias("pos", "token_id"))
+    word = F.coalesce("token", F.lit(unknown))
+    back = _together(places.join(vocab.select("token_id", "token"), "token_id", "left"), word, ids, "_words")
+    return back.select(*(F.col(f"`{c}`") for c in ids), F.array_join("_words", " ").alias("decoded"))
+
+
+def encode_by_join(df: DataFrame, vocab: DataFrame, max_length: int, ids: Sequence[str], **settings) -> DataFrame:
+    """:func:`encode`, which joins for any vocabulary."""
+    return encode(df, vocab, max_length, ids, **settings)
 
 
 def check_round_trip(
     df: DataFrame,
     vocab: DataFrame,
-    ids: Sequence[str] = ("doc_id",),
+    ids: Sequence[str] = (),
     text: str = "text",
     eos: str = fv.END_TOKEN,
 ) -> DataFrame:
-    """One row: vocabulary size, rows, and rows all of whose words come back from their ids."""
-    asked = df.select(
-        *ids, F.array_join(F.filter(tokens(text, eos), lambda w: w != eos), " ").alias("_asked")
-    )
-    back = decode(token_ids(df, vocab, ids, text, None, eos), vocab, ids, "token_ids")
-    return asked.join(back, list(ids)).agg(
+    """One row: vocabulary size, rows, and rows all of whose words come back from their ids.
+
+    Every row counts, whatever its ``ids``, which aren't read any more.
+    """
+    asked = F.array_join(F.filter(tokens(text, eos), lambda w: w != eos), " ")
+    given = df.select(F.col(f"`{text}`").alias("text"), asked.alias("asked"))
+    back = decode(token_ids(given, vocab, ["asked"], "text", None, eos), vocab, ["asked"], "token_ids")
+    return back.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("decoded") == F.col("_asked")).alias("n_exact"),
+        F.count_if(F.col("decoded") == F.col("asked")).alias("n_exact"),
     ).withColumn("vocab_size", vocab.agg(F.count(F.lit(1))).scalar())
 
 

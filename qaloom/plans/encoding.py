@@ -9,7 +9,7 @@ from qaloom.operators import encode as E
 from qaloom.plans import jobs
 from qaloom.plans.curation import SQL_SPLIT, split_pairs
 from qaloom.plans.registry import query
-from qaloom.plans.relations import PAIR_IDS, WS, big, q, sql_strip
+from qaloom.plans.relations import PAIR_IDS, WS, big, q, sql_strip, table
 from qaloom.plans.texts import SQL_TRAINING, training_texts
 
 VOCAB, LENGTH = 2000, 512
@@ -86,19 +86,22 @@ def _(spark, sf):
     return E.decode(E.encode(training_texts(spark, sf), vocab, LENGTH), vocab)
 
 
-# whole texts against a vocabulary of all words of the first half of the ids, so both outcomes occur
+# the vocabulary of all documents meets their own texts and those of the conversations, so both outcomes occur
 @query(
     "check_round_trip",
-    f"""WITH {SQL_TOKENS}, known AS (SELECT DISTINCT unnest(toks) AS token FROM split_texts
-      WHERE doc_id < (SELECT avg(doc_id) FROM split_texts)),
-    missing AS (SELECT DISTINCT doc_id FROM places WHERE token NOT IN (SELECT token FROM known) AND token <> '{EOS}')
-    SELECT count(*) AS n_rows, count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM missing)) AS n_exact,
-      (SELECT count(*) FROM known WHERE token <> '{EOS}') AS vocab_size FROM split_texts""",
+    f"""WITH {SQL_TOKENS}, known AS (SELECT DISTINCT unnest(toks) AS token FROM split_texts),
+    asked AS (SELECT row_number() OVER () AS r, toks FROM (
+      SELECT toks FROM split_texts UNION ALL
+      SELECT [w FOR w IN regexp_split_to_array(replace(coalesce(text, ''), '{EOS}', ' {EOS} '), '{WS}+') IF w <> ''] FROM conversations)),
+    missing AS (SELECT DISTINCT r FROM (SELECT r, unnest(toks) AS token FROM asked)
+      WHERE token <> '{EOS}' AND token NOT IN (SELECT token FROM known))
+    SELECT count(*) AS n_rows, count(*) FILTER (r NOT IN (SELECT r FROM missing)) AS n_exact,
+      (SELECT count(*) FROM known WHERE token <> '{EOS}') AS vocab_size FROM asked""",
 )
 def _(spark, sf):
     texts = training_texts(spark, sf)
-    half = texts.where(F.col("doc_id") < texts.agg(F.avg("doc_id")).scalar())
-    return E.check_round_trip(texts, E.learn_vocab(half, None))
+    turns = table(spark, sf, "conversations").select(F.coalesce("text", F.lit("")).alias("text"))
+    return E.check_round_trip(texts.select("text").unionByName(turns), E.learn_vocab(texts, None))
 
 
 @query(

@@ -164,3 +164,25 @@ def test_round_trip(spark, sf_dir):
 
 def test_work_dir_is_stable(spark):
     assert work_dir(spark) == work_dir(spark)
+
+
+def test_encoding_goes_row_by_row(spark):
+    # repeated, null and missing ids: every row comes back, and so does its own text
+    rows = [(i % 3 or None, f"w{i} x{i} w{i}" if i % 7 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "`my id` int, text string")
+    vocab = encode.learn_vocab(df, None)
+    for ids in (["my id"], []):
+        coded = encode.encode(df, vocab, 8, ids)
+        assert coded.count() == 40 and coded.columns == [*ids, "input_ids", "attention_mask", "labels"]
+    back = encode.decode(encode.encode(df, vocab, 8, ["my id"]), vocab, ["my id"]).collect()
+    assert sorted(map(repr, back)) == sorted(f"Row(my id={i!r}, decoded={(t or '')!r})" for i, t in rows)
+    assert tuple(encode.check_round_trip(df.dropna(subset=["text"]), vocab).first()) == (34, 34, 68)
+
+
+def test_words_and_positions_stay_where_their_text_is(spark):
+    df = spark.createDataFrame([(1, "a b a")], "id int, text string")
+    vocab = encode.learn_vocab(df, None)
+    for coded in (encode.token_ids(df, vocab, ["id"]), encode.decode(encode.token_ids(df, vocab, ["id"]), vocab, ["id"], "token_ids")):
+        plan = coded._jdf.queryExecution().executedPlan().toString()
+        moves = [line for line in plan.splitlines() if "Exchange hash" in line]
+        assert moves and all("hashpartitioning(_row" in line and "REPARTITION" in line for line in moves)
