@@ -14,7 +14,7 @@ from qaloom import fixed_values as fv
 from qaloom.functions.checks import Rules, quality_flags
 from qaloom.functions.text import build_prompt, clean_technical, is_qa, retry_prompt
 from qaloom.operators.curate import accept, fan_out
-from qaloom.operators.selection import after, nth, ranked_keys, up_to
+from qaloom.operators.selection import after, nth_ranked, ranked_keys, up_to
 from qaloom.session import materialise
 
 Generator = Callable[[str], str]
@@ -139,7 +139,7 @@ def generate_until(
         taken = min(total, taken + max(1, math.ceil(missing / share * factor)))
         batch = candidates if last is None else candidates.where(after(candidates, order, last))
         if taken < total:
-            last = tuple(nth(ranked, taken)["key"])[:-1]
+            last = nth_ranked(ranked, taken).key[:-1]
             batch = batch.where(up_to(candidates, order, last))
         answered = generate_with_retry(batch, generator, rules, "prompt", native, partitions)
         # a generator may answer differently when asked again; the format check comes

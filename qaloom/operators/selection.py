@@ -1,33 +1,79 @@
 """First n rows of a table by any columns, for any n, and exact splits.
 
 ``orderBy().limit(n)`` keeps n rows in one task, which is wrong for a fifth of a
-large table. Here the keys alone are sorted, range by range; the key of the n-th
-row comes from the ranges' row counts, and rows are then kept by comparing keys.
+large table. Here the key of the n-th row is found first, and rows are then kept by
+comparing keys. Keys of integers are selected by radix: a histogram of the leading bits
+says which bucket holds the n-th key, and the next one is of that bucket alone, so that
+nothing is sorted. Keys of other types are sorted range by range, and the ranges' row
+counts say where the n-th is.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qaloom.operators.ordered import place_of, row_tie
 from qaloom.session import materialise
 
 _RANGE_BITS = 33  # of monotonically_increasing_id, for the row in its partition
 
 
-def _tie(df: DataFrame) -> Column:
-    """Orders rows whose order columns are equal: a hash of the whole row (maps aside)."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.xxhash64(*(F.col(f"`{c}`") for c in plain))
+BUCKETS = 4_096
+FEW = 10_000
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _key(order: Sequence[str], tie: Column) -> Column:
-    """The whole order as one value; structs compare field by field, nulls first."""
-    return F.struct(*(F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)), tie.alias("tie"))
+class Nth(NamedTuple):
+    """The n-th key, the rows with smaller keys, and the rows with the same key."""
+
+    key: tuple
+    before: int
+    same: int
+
+
+def _by_radix(rows: DataFrame, n: int) -> Nth | None:
+    """The n-th row of a table of integer columns, ordered by them from left to right, nulls first.
+
+    At most ``BUCKETS`` bucket counts, or ``FEW`` rows of the last bucket, reach the driver at a time.
+    """
+    names, found = rows.columns, []
+    size = rows.count()
+    if not 1 <= n <= size:
+        return None
+    before = 0  # rows before the bucket in hand
+    for name in names:
+        low = high = None
+        while size > FEW and (low is None or low < high):
+            shift = 0
+            if low is not None:
+                while (high >> shift) - (low >> shift) >= BUCKETS:
+                    shift += 1
+                bucket = F.shiftright(name, shift)
+            else:
+                bucket = F.isnotnull(name).cast("long")
+            parts = rows.groupBy(bucket.alias("at")).agg(F.count("*").alias("n"), F.min(name).alias("low"), F.max(name).alias("high"))
+            for part in sorted(parts.collect(), key=lambda r: r["at"]):
+                if before + part["n"] >= n:
+                    break
+                before += part["n"]
+            rows = rows.where(bucket == part["at"])
+            size, low, high = part["n"], part["low"], part["high"]
+            if low is None:
+                break
+        if size <= FEW:
+            break
+        found.append(low)
+    if size > FEW:  # all columns are alike
+        return Nth(tuple(found), before, size)
+    listed = sorted((tuple(r) for r in rows.collect()), key=lambda r: [(v is not None, v or 0) for v in r])
+    key = listed[n - before - 1]
+    return Nth(key, before + listed.index(key), listed.count(key))
 
 
 def ranked_keys(df: DataFrame, order: Sequence[str], tie: Column | None = None) -> DataFrame:
@@ -36,14 +82,14 @@ def ranked_keys(df: DataFrame, order: Sequence[str], tie: Column | None = None)
     Equal keys may lie in one range only, and ranges are about equally long, so no
     key column can fill a task unless one key does.
     """
-    keys = df.select(_key(order, _tie(df) if tie is None else tie).alias("key"))
+    keys = df.select(place_of(order, row_tie(df) if tie is None else tie).alias("key"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     in_order = keys.repartitionByRange(parts, "key").sortWithinPartitions("key")
     return materialise(in_order.withColumn("id", F.monotonically_increasing_id()))
 
 
-def nth(ranked: DataFrame, n: int) -> Row | None:
-    """The n-th key of :func:`ranked_keys` (``key``), and how many rows come before its equals."""
+def nth_ranked(ranked: DataFrame, n: int) -> Nth | None:
+    """The n-th key of :func:`ranked_keys`."""
     if n < 1:
         return None
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)  # one row per range
@@ -53,16 +99,28 @@ def nth(ranked: DataFrame, n: int) -> Row | None:
     if hit is None:
         return None
     at = (hit["part"] << _RANGE_BITS) + n - (hit["upto"] - hit["n"]) - 1
-    return ranked.where(F.col("id") == at).first()
+    key = ranked.where(F.col("id") == at).first()["key"]
+    bound = F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(key, ranked.schema["key"].dataType.fields)))
+    before, same = ranked.agg(F.count_if(F.col("key") < bound), F.count_if(F.col("key") == bound)).first()
+    return Nth(tuple(key), before, same)
+
+
+def nth(df: DataFrame, order: Sequence[str], n: int, tie: Column | None = None) -> Nth | None:
+    """The key (order columns and tie) of the n-th row by ``order``; None if there are fewer rows."""
+    tie = row_tie(df) if tie is None else tie
+    if all(isinstance(df.schema[c].dataType, _INTEGERS) for c in order):
+        keys = [*(F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)), tie.cast("long").alias("tie")]
+        return _by_radix(materialise(df.select(*keys)), n)
+    return nth_ranked(ranked_keys(df, order, tie), n)
 
 
 def nth_key(df: DataFrame, order: Sequence[str], n: int) -> tuple | None:
     """Order columns of the n-th row, or None if there are fewer rows."""
-    found = nth(ranked_keys(df, order), n)
-    return None if found is None else tuple(found["key"])[:-1]
+    found = nth(df, order, n)
+    return None if found is None else found.key[:-1]
 
 
-def _bound(df: DataFrame, order: Sequence[str], key: Row | tuple) -> Column:
+def _bound(df: DataFrame, order: Sequence[str], key: tuple) -> Column:
     kinds = [*(df.schema[c].dataType for c in order), T.LongType()]
     return F.struct(
         *(F.lit(v).cast(k).alias(f"o{i}") for i, (v, k) in enumerate(zip(key, kinds[:-1]))),
@@ -85,23 +143,21 @@ def mark_first(
     order: Sequence[str],
     n: int,
     out: str,
-    ranked: DataFrame | None = None,
     tie: Column | None = None,
 ) -> DataFrame:
     """Add the boolean ``out``: whether a row is among the first ``n`` by ``order``.
 
     The order is total for any column types: nulls come first, ties go by a hash of the
     whole row, and of equal rows any are as good. Exactly ``min(n, rows)`` rows are
-    marked. ``df`` is read twice, so it must not vary. With a ``tie`` of its own (and
-    keys ranked with it) rows are hashed only if that leaves equals on both sides of the cut.
+    marked. ``df`` is read twice, so it must not vary. With a ``tie`` of its own rows are
+    hashed only if that leaves equals on both sides of the cut.
     """
     order = list(order)
-    ranked = ranked_keys(df, order, tie) if ranked is None else ranked
-    found = nth(ranked, n)
+    found = nth(df, order, n, tie)
     if found is None:
         return df.withColumn(out, F.lit(n >= 1))
-    key, bound = _key(order, _tie(df) if tie is None else tie), _bound(df, order, found["key"])
-    before, same = ranked.agg(F.count_if(F.col("key") < bound), F.count_if(F.col("key") == bound)).first()
+    key, bound = place_of(order, row_tie(df) if tie is None else tie), _bound(df, order, found.key)
+    before, same = found.before, found.same
     marked = df.withColumn(out, key <= bound)
     if before + same == n:
         return marked
@@ -128,15 +184,14 @@ def split_exact(df: DataFrame, ids: Sequence[str], test_fraction: float = 0.2, s
     """Add ``split``: the ``ceil(fraction * n)`` rows with the lowest hash are the test part.
 
     Sizes are exact, also over repeated or null ids, and the choice depends on ids and
-    seed (and the row, where ids repeat) only. Hashes and ids are sorted, not rows.
+    seed (and the row, where ids repeat) only. Nothing is sorted where ids are integers.
     ``df`` must not vary between two runs; write it first if it may.
     """
     ids = list(ids)
     hashed = df.withColumn("_h", split_hash(ids, seed))
     same = F.lit(0).cast("long")  # ids are mostly unique, so rows need no hash
-    ranked = ranked_keys(hashed, ["_h", *ids], same)
-    n_test = math.ceil(test_fraction * ranked.count())
-    marked = mark_first(hashed, ["_h", *ids], n_test, "_test", ranked, same)
+    n_test = math.ceil(test_fraction * df.count())
+    marked = mark_first(hashed, ["_h", *ids], n_test, "_test", same)
     return marked.withColumn("split", F.when(F.col("_test"), "test").otherwise("train")).drop("_h", "_test")
 
 

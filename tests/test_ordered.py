@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qaloom.operators.ordered import number_rows, with_blocks, with_neighbours
+from qaloom.operators import selection
 from qaloom.operators.selection import after, nth_key, split_by_hash, split_exact, take_first
 
 
@@ -74,6 +75,28 @@ def test_take_first(ordered):
     assert rest == rows[200:]
 
 
+@pytest.mark.parametrize("few, buckets", [(0, 4), (3, 2), (0, 4096), (10**6, 4096)])
+def test_radix_finds_every_key(spark, monkeypatch, few, buckets):
+    rng = random.Random(4)
+    values = [None, 0, -1, 1, -(2**63), 2**63 - 1, 7, 7, 7]
+    rows = [(rng.choice(values), rng.choice([None, 1, 2, -5])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "a bigint, b int").coalesce(1).cache()
+    monkeypatch.setattr(selection, "FEW", few)
+    monkeypatch.setattr(selection, "BUCKETS", buckets)
+    by = sorted(rows, key=lambda r: [(v is not None, v or 0) for v in r])
+    for n in (1, 5, 33, 60):
+        found = selection._by_radix(df, n)
+        assert found == (by[n - 1], by.index(by[n - 1]), by.count(by[n - 1]))
+    assert selection._by_radix(df, 61) is None and selection._by_radix(df, 0) is None
+
+
+def test_integer_keys_are_not_sorted(spark, monkeypatch):
+    monkeypatch.setattr(selection, "ranked_keys", None)
+    df = spark.range(100).withColumnRenamed("id", "sample_id")
+    for picked in (split_exact(df, ["sample_id"]), take_first(df, ["sample_id"], 7)):
+        assert "rangepartitioning" not in picked._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("kind", ["bigint", "string", "double", "timestamp"])
 def test_take_first_with_ties_nulls_and_equal_rows(spark, kind):
     rows = [(None, 1), (None, 2), (3, 1), (3, 1), (3, 1), (3, 2), (5, None), (7, 0)]
