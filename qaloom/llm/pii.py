@@ -29,13 +29,17 @@ GATES = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9
 ROUNDS = 4
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.8
-MAX_TOKEN = 64
+MIN_TOKEN = 5
+SPACES = " \t\n\x0b\f\r"
 BREAKS = r"\x20\t\n\x0B\f\r"
 SHAPED = r"[0-9@]|[(\[{]at[)\]}]"
-#: a whole word with such a part; tried at the start of words only
-SHAPED_WORD = f"(?<![^{BREAKS}])[^{BREAKS}]*(?:{SHAPED})[^{BREAKS}]*"
-NEAR = 64
-HEAD, TAIL = r"^[(\[<\"'`]+", r"[)\]>\"'`.,;:!?]+$"
+#: what may stand for an identifier, tried at the start of words only: numbers with spaces between
+#: them, as phones and cards are written, or a whole word with a digit, an ``@`` or a bracketed ``at``
+CANDIDATE = (
+    f"(?<![^{BREAKS}])(?:[+(]?[0-9][0-9().+\\x20-]*(?![^{BREAKS},;:!?\\])>\"'`])"
+    f"|[^{BREAKS}]*(?:{SHAPED})[^{BREAKS}]*)"
+)
+HEAD, TAIL = r"^[(\[<\"'`]+(?![0-9]+\))", r"[\])>\"'`.,;:!?\x20]+$"
 
 SPAN = "array<struct<kind:int,start:int,end:int>>"
 
@@ -97,20 +101,21 @@ def joined(spans: Column) -> Column:
 
 
 def contexts(docs: DataFrame) -> DataFrame:
-    """Identifier-shaped words of the rows ``(owner, no_owner, mark, text)`` with the words around them.
+    """Identifier-shaped tokens of the rows ``(owner, no_owner, mark, text)`` with the words around them.
 
-    ``token`` is the word without brackets, quotes and stops at its ends, ``start`` its
-    place, ``pattern`` a context: the word before, the word after, or both (of very long
-    words the near ``NEAR`` characters). Words without a digit, ``@`` or a bracketed ``at``
-    are no identifiers, and texts without any are skipped.
+    ``token`` is a ``CANDIDATE`` without brackets, quotes and stops at its ends, ``start`` its
+    place, ``pattern`` a context: the word before, the word after, or both, lower-cased
+    and whole, however far away. Where nothing but space lies between two candidates,
+    one is the other's context. Texts without candidates are skipped.
     """
     shaped = docs.where(F.col("text").rlike(SHAPED)).select(
         "owner",
         "no_owner",
         "mark",
-        F.regexp_extract_all("text", F.lit(SHAPED_WORD), F.lit(0)).alias("found"),
-        F.split("text", SHAPED_WORD, -1).alias("between"),
+        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
+        F.split("text", CANDIDATE, -1).alias("between"),
     )
+    shaped = shaped.where(F.size("found") > 0)
     none = F.array().cast("array<int>")
 
     def step(state: Column, i: Column) -> Column:
@@ -123,12 +128,11 @@ def contexts(docs: DataFrame) -> DataFrame:
     rows = shaped.withColumn("starts", starts).select("*", F.posexplode("found").alias("i", "word"))
     i = F.col("i")
 
-    def other(piece: Column, pattern: str, neighbour: Column) -> Column:
-        near = F.regexp_extract(F.coalesce(piece, F.lit("")), pattern, 1)
-        return F.lower(F.when(near != "", near).otherwise(F.coalesce(neighbour, F.lit(""))))
+    def other(piece: Column, which: int, neighbour: Column) -> Column:
+        trim = F.rtrim if which < 0 else F.ltrim
+        plain = trim(F.translate(F.coalesce(piece, F.lit("")), SPACES, " " * len(SPACES)), F.lit(" "))
+        return F.lower(F.when(plain != "", F.substring_index(plain, " ", which)).otherwise(F.coalesce(neighbour, F.lit(""))))
 
-    before = other(F.right(F.get("between", i), F.lit(NEAR)), f"([^{BREAKS}]+)[{BREAKS}]*$", F.get("found", i - 1))
-    after = other(F.left(F.get("between", i + 1), F.lit(NEAR)), f"^[{BREAKS}]*([^{BREAKS}]+)", F.get("found", i + 1))
     lead = F.length("word") - F.length(F.regexp_replace("word", HEAD, ""))
     rows = rows.select(
         "owner",
@@ -136,9 +140,9 @@ def contexts(docs: DataFrame) -> DataFrame:
         "mark",
         core(F.col("word")).alias("token"),
         (F.get("starts", i) + lead).alias("start"),
-        F.regexp_replace(before, HEAD, "").alias("before"),
-        F.regexp_replace(after, TAIL, "").alias("after"),
-    ).where(F.length("token").between(5, MAX_TOKEN))
+        F.regexp_replace(other(F.get("between", i), -1, F.get("found", i - 1)), HEAD, "").alias("before"),
+        F.regexp_replace(other(F.get("between", i + 1), 1, F.get("found", i + 1)), TAIL, "").alias("after"),
+    ).where(F.length("token") >= MIN_TOKEN)
     both = F.array(
         F.concat(F.col("before"), F.lit(" _")),
         F.concat(F.lit("_ "), F.col("after")),
@@ -167,7 +171,7 @@ def looks_like(token: Column, kind: Column) -> Column:
     plain = ~token.rlike("[A-Za-z]")
     return (
         F.when(kind == 0, token.contains("@") | token.rlike(r"(?i)[\[({]at[\])}]"))
-        .when(kind == 1, token.rlike("^[0-9a-fA-F]+([.:]+[0-9a-fA-F]+){3,}$"))
+        .when(kind == 1, (F.length(token) <= 45) & token.rlike("^[0-9a-fA-F]+([.:]+[0-9a-fA-F]+){3,}$"))
         .when(kind == 2, (n >= 12) & plain)
         .otherwise((n >= 7) & (n <= 15) & plain)
     )
@@ -176,38 +180,38 @@ def looks_like(token: Column, kind: Column) -> Column:
 def bootstrap(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Tokens that confident patterns find: ``token``, ``kind``.
 
-    ``rows`` are :func:`contexts`. Distinct tokens and patterns make a graph. Base
-    entities have score 1 for their kind. In each round a pattern's score for a kind
-    is the mean score of its tokens (other shapes count as 0), and a token that is no seed gets
-    the best score of its patterns with at least ``MIN_SEEDS`` distinct seeds. A
-    token with a score of ``MIN_CONFIDENCE`` or more after the last round is found.
-    Frequent words make weak patterns, as most of what follows them has another kind.
-    Copies don't count, since edges are distinct. Each round is a table on
-    shared storage.
+    ``rows`` are :func:`contexts`. Distinct tokens and patterns make a graph. A token that is
+    wholly a base entity is a seed of its kind. In each round a pattern's supporters for
+    a kind are its seeds and those of its tokens that were confirmed before through
+    another pattern, so that no pattern supports itself; its score is their share of all its
+    tokens. With ``MIN_SEEDS`` supporters and a score of ``MIN_CONFIDENCE`` it is strong, and its
+    other tokens of the right shape are confirmed. Strong patterns are found anew in each
+    round and can only become more. A token of several kinds has the one that most
+    strong patterns say, then the first. Frequent words make weak patterns, as most of
+    what follows them is something else; copies don't count, since edges are
+    distinct. Each round is a table on shared storage.
     """
-    edges = materialise(
-        rows.groupBy("pattern", "token").agg(F.lit(1).alias("one")).select(
-            "pattern", "token", seed_kind(F.col("token")).alias("seed")
-        )
-    )
+    edges = rows.groupBy("pattern", "token").agg(F.lit(1).alias("one"))
+    edges = materialise(edges.select("pattern", "token", seed_kind(F.col("token")).alias("seed")))
+    totals = edges.groupBy("pattern").agg(F.count("*").alias("tokens")).where(F.col("tokens") >= MIN_SEEDS)
+    near = materialise(edges.join(totals, "pattern"))
+    seeds = near.where("seed is not null").groupBy("pattern", F.col("seed").alias("kind"), "tokens").agg(F.count("*").alias("n"))
+    seeds = materialise(seeds)
     kinds = F.explode(F.array(*(F.lit(k) for k in range(len(KINDS))))).alias("kind")
-    seeded = edges.where("seed is not null").groupBy("pattern", F.col("seed").alias("kind")).agg(
-        F.count("*").alias("seeds")
-    )
-    strong = materialise(seeded.where(F.col("seeds") >= MIN_SEEDS).select("pattern", "kind"))
-    near = materialise(edges.join(strong, "pattern"))
-    free = near.where(F.col("seed").isNull() & looks_like(F.col("token"), F.col("kind")))
-    scores = free.select("token", "kind", F.lit(0.0).alias("score")).distinct()
+    free = near.where("seed is null").select("pattern", "token", "tokens", kinds)
+    free = materialise(free.where(looks_like(F.col("token"), F.col("kind"))))
+    confirmed = free.select("token", "kind", "pattern").limit(0)
     for _ in range(rounds):
-        own = F.when(F.col("seed") == F.col("kind"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))
-        patterns = (
-            near.join(scores, ["token", "kind"], "left").groupBy("pattern", "kind").agg(F.avg(own).alias("weight"))
-        )
-        scores = materialise(
-            free.join(patterns, ["pattern", "kind"]).groupBy("token", "kind").agg(F.max("weight").alias("score"))
-        )
-    best = scores.where(F.col("score") >= MIN_CONFIDENCE).groupBy("token")
-    return best.agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
+        by = confirmed.groupBy("token", "kind").agg(F.count("*").alias("by"))
+        own = confirmed.withColumn("own", F.lit(1))
+        told = free.join(by, ["token", "kind"]).join(own, ["token", "kind", "pattern"], "left")
+        told = told.where(F.col("by") - F.coalesce("own", F.lit(0)) > 0)
+        support = seeds.unionByName(told.groupBy("pattern", "kind", "tokens").agg(F.count("*").alias("n")))
+        support = support.groupBy("pattern", "kind", "tokens").agg(F.sum("n").alias("n"))
+        strong = support.where((F.col("n") >= MIN_SEEDS) & (F.col("n") >= MIN_CONFIDENCE * F.col("tokens")))
+        confirmed = materialise(free.join(strong.select("pattern", "kind"), ["pattern", "kind"]).select("token", "kind", "pattern"))
+    votes = confirmed.groupBy("token", "kind").agg(F.count("*").alias("votes"))
+    return votes.groupBy("token").agg(F.max_by("kind", F.struct("votes", -F.col("kind"))).alias("kind"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from functools import cache
 
 import numpy as np
 import pytest
@@ -133,6 +134,104 @@ def test_weak_contexts_find_nothing(spark):
     assert found_spans(df, "spans") == found_spans(df)
 
 
+def plain_contexts(text):
+    """``(token, start, before, after)`` of a text's candidates, in plain Python."""
+    spaces = " \t\n\x0b\f\r"
+    found = list(re.finditer(pii.CANDIDATE.replace("\\x0B", "\\x0b"), text))
+    for k, m in enumerate(found):
+        token = re.sub(pii.TAIL, "", re.sub(pii.HEAD, "", m[0]))
+        lead = len(m[0]) - len(re.sub(pii.HEAD, "", m[0]))
+        left = text[found[k - 1].end() if k else 0 : m.start()].strip(spaces)
+        right = text[m.end() : found[k + 1].start() if k + 1 < len(found) else len(text)].strip(spaces)
+        before = re.split(f"[{spaces}]", left)[-1] if left else (found[k - 1][0] if k else "")
+        after = re.split(f"[{spaces}]", right)[0] if right else (found[k + 1][0] if k + 1 < len(found) else "")
+        if len(token) >= pii.MIN_TOKEN:
+            yield token, m.start() + lead, re.sub(pii.HEAD, "", before.lower()), re.sub(pii.TAIL, "", after.lower())
+
+
+@cache
+def plain_kind(token):
+    return next((k for k, s, e in plain_spans(token) if (s, e) == (0, len(token))), None)
+
+
+def plain_shape(token, kind):
+    n, plain = len(re.findall("[0-9]", token)), not re.search("[A-Za-z]", token)
+    return {
+        "email": "@" in token or bool(re.search(r"(?i)[\[({]at[\])}]", token)),
+        "ip": len(token) <= 45 and bool(re.fullmatch("[0-9a-fA-F]+([.:]+[0-9a-fA-F]+){3,}", token)),
+        "card": n >= 12 and plain,
+        "phone": 7 <= n <= 15 and plain,
+    }[kind]
+
+
+def plain_bootstrap(texts):
+    graph = {}
+    for text in texts:
+        for token, _, before, after in plain_contexts(text):
+            for pattern in (f"{before} _", f"_ {after}", f"{before} _ {after}"):
+                graph.setdefault(pattern, set()).add(token)
+    confirmed = {}
+    for _ in range(pii.ROUNDS):
+        now = {}
+        for pattern, tokens in graph.items():
+            for kind in pii.KINDS:
+                good = [t for t in tokens if plain_kind(t) == kind or confirmed.get((t, kind), set()) - {pattern}]
+                if len(good) >= pii.MIN_SEEDS and len(good) >= pii.MIN_CONFIDENCE * len(tokens):
+                    for t in tokens:
+                        if plain_kind(t) is None and plain_shape(t, kind):
+                            now.setdefault((t, kind), set()).add(pattern)
+        confirmed = now
+    best = {}
+    for (token, kind), patterns in confirmed.items():
+        vote = (len(patterns), -pii.KINDS.index(kind))
+        best[token] = max(best.get(token, vote), vote)
+    return {t: pii.KINDS[-k] for t, (_, k) in best.items()}
+
+
+def plain_personal_data(rows):
+    kinds = plain_bootstrap([t or "" for _, t in rows])
+    out = []
+    for i, text in rows:
+        base = plain_spans(text)
+        added = {(kinds[t], s, s + len(t)) for t, s, _, _ in plain_contexts(text or "") if t in kinds}
+        free = [a for a in added if not any(a[1] < e and s < a[2] for _, s, e in base)]
+        out.append((i, sorted([*base, *free], key=lambda x: (pii.KINDS.index(x[0]), *x[1:]))))
+    return sorted(out, key=repr)
+
+
+def test_bootstrap_equals_plain_version(spark, odd_docs):
+    rng = random.Random(8)
+    made = {
+        "mail": lambda n: f"u{n}@ex{n % 3}.com", "call": lambda n: f"+1 ({n:03d}) 555-{n:04d}", "card": lambda n: "4111 1111 1111 1111",
+        "lax": lambda n: f"u{n}@host", "dial": lambda n: f"0{n:03d} 555 {n:04d}", "at": lambda n: f"u{n}(at)ex.com", "num": lambda n: str(n),
+    }
+    leads = ["mail:", "phone", "(call", "see", "the", "year", "id:"]
+    likely = {"mail:": ("mail", "lax", "at"), "phone": ("call", "dial"), "(call": ("call", "dial", "card")}
+    rows = []
+    for i in range(400):
+        words = []
+        for _ in range(rng.randint(1, 8)):
+            lead = rng.choice(leads)
+            kind = rng.choices(likely[lead], [14, *[1] * (len(likely[lead]) - 1)])[0] if lead in likely else rng.choice(list(made))
+            words += [lead, made[kind](rng.randrange(60)) + rng.choice(["", ",", ".", ")"]), rng.choice(["today", "or", "", " " * 80 + "far", "\n"])]
+        rows.append((i, " ".join(words)))
+    rows += [(r["doc_id"], r["text"]) for r in odd_docs.collect() if len(r["text"] or "") < 10_000]
+    rows += [(900, "phone " + "1 " * 2_000 + "x"), (901, "phone " + "1.1" * 500), (902, "mail: " + "y" * 2_000 + "@z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_personal_data(rows)
+    assert found_spans(df, "spans") == want
+    texts = dict(rows[:400])
+    added = {(k, texts[i][s:e]) for i, spans in want if i in texts for k, s, e in spans if (k, s, e) not in plain_spans(texts[i])}
+    assert {k for k, _ in added} == {"email", "phone"} and any(" " in t for _, t in added)
+
+
+def test_a_pattern_does_not_support_itself(spark):
+    # a third of what follows the word are seeds: their share stays a third in every round
+    rows = [(i, f"contact: u{i}@ex.com, or") for i in range(35)] + [(50 + i, f"contact: x{i}@y{i}, or") for i in range(65)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found_spans(df, "spans") == found_spans(df)
+
+
 def test_personal_data_plan_is_native(spark, sf_dir):
     plan = pii.personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
