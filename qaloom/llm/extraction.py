@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qaloom.llm.shared import map_texts, text_of
 
@@ -34,7 +35,7 @@ RAW = {
 }
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?:>|\Z)"""
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
@@ -68,7 +69,8 @@ def leaf_blocks(page: str) -> list[Block]:
     one without an open element is ignored. A self-closed element is empty. Only the
     content of ``RAW`` elements is skipped; text in svg, math or noscript has them as
     ancestors. White space in a block is one space; blocks without text are left out.
-    Unclosed markup runs to the end of the page.
+    A quote opens a value only directly after ``=`` and if it is closed again; anywhere else
+    in a tag it is a plain character. An unclosed tag or comment runs to the end of the page.
     """
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
@@ -356,5 +358,5 @@ def extract(
     given = pages.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), text_of(F.col(f"`{html_col}`")).alias("html"), row.alias("row")
     )
-    kind = given.schema["row"].dataType.simpleString()
-    return map_texts(given, "html", f"id long, text string, row {kind}", job)
+    schema = T.StructType.fromDDL("id long, text string").add(given.schema["row"])
+    return map_texts(given, "html", schema, job)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qaloom.llm.quality import CLASSES, class_counts
 from qaloom.llm.shared import map_texts, text_of, whole
@@ -149,9 +150,9 @@ def posteriors(
         text_of("text").alias("text"),
         *([whole(docs)] if keep_row else []),
     )
-    schema = "id long, n_tokens long, p array<double>"
+    schema = T.StructType.fromDDL("id long, n_tokens long, p array<double>")
     if keep_row:
-        schema += f", row {given.schema['row'].dataType.simpleString()}"
+        schema.add(given.schema["row"])
     return map_texts(given, "text", schema, job)
 
 

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qaloom.llm.shared import bound_batches, map_texts, slices, text_of, whole
 from qaloom.session import materialise
@@ -61,7 +62,6 @@ class Limits:
     word_distance: float = 0.5
     min_chars: int = 500
     min_words: int = 100
-    min_reference_words: int = 10_000
 
 
 def class_counts(text: str) -> np.ndarray:
@@ -238,23 +238,27 @@ def quality(
     repeated 8-word windows. Otherwise it is kept if the Jensen-Shannon distances of
     its character classes and of its common words to its language's reference are
     within ``limits``; a text below the minimum lengths, of a null language or of one
-    with too few words for a reference is judged by the base rules alone.
-    ``references`` defaults to those of ``docs`` itself, over all rows. Null text:
+    without a reference is judged by the base rules alone. A verdict depends on the text and
+    the reference only. ``references`` defaults to those of ``docs`` itself, over all rows. Null text:
     read as empty, fails. Repeated rows and null ids are judged row by row; an empty
     table gives an empty table. With ``keep_row`` the whole row comes along as ``row``.
-    References are a few kilobytes a language and travel with the tasks; more than
-    ``MAX_LANGUAGES`` languages with enough words raise a ValueError.
+    References are a few kilobytes a language: those of the ``MAX_LANGUAGES`` languages with
+    most words travel with the tasks, those of any others are joined to their rows.
     """
     if references is None:
         references = language_references(docs, lang_col, text_col)
-    rows = references.where(F.col("n_words") >= limits.min_reference_words).limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
-    known = {r["lang"]: Reference(r) for r in rows}
+    by_size = references.orderBy(F.desc("n_words"), "lang")
+    rows = by_size.limit(MAX_LANGUAGES + 1).collect()
+    known = {r["lang"]: Reference(r) for r in rows[:MAX_LANGUAGES]}
+    rare = len(rows) > MAX_LANGUAGES
+
+    def own(row: dict | None) -> Reference | None:
+        return Reference(row) if row is not None else None
 
     def job(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-        found = list(zip(*(judge(t, known.get(lang), limits) for lang, t in zip(langs, texts))))
+        others = map(own, batch.column("reference").to_pylist()) if rare else repeat(None)
+        found = list(zip(*(judge(t, known.get(lang) or r, limits) for lang, t, r in zip(langs, texts, others))))
         types = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()] * 2
         names = [c.split()[0] for c in OUT.split(", ")]
         arrays = [batch.column("row_id"), *(pa.array(c, t) for c, t in zip(found, types))]
@@ -269,7 +273,14 @@ def quality(
         text_of(F.col(f"`{text_col}`")).alias("text"),
         *([whole(docs)] if keep_row else []),
     )
-    schema = OUT + (f", row {given.schema['row'].dataType.simpleString()}" if keep_row else "")
+    if rare:
+        last = rows[MAX_LANGUAGES - 1]
+        beyond = (F.col("n_words") < last["n_words"]) | ((F.col("n_words") == last["n_words"]) & (F.col("lang") > last["lang"]))
+        reference = F.struct("classes", "words", "counts", "n_words").alias("reference")
+        given = given.join(references.where(beyond).select(F.col("lang").alias("of"), reference), F.col("lang") == F.col("of"), "left").drop("of")
+    schema = T.StructType.fromDDL(OUT)
+    if keep_row:
+        schema.add(given.schema["row"])
     return map_texts(given, "text", schema, job)
 
 

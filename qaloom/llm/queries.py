@@ -46,9 +46,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.apply("trim", rows(licensed, "revise", "words-1", trimmed))
     toxic = labels.where("toxic = 1 AND doc_id IS NOT NULL")
     gone = token_counts.deletions(toxic, "words-2")
-    # whether a document without id is among the toxic ones is unknown, so it isn't counted where they are left out
-    unknown = docs.where("doc_id IS NULL").join(F.broadcast(toxic.limit(1).select(F.lit(1).alias("one"))), how="left_semi")
-    ledger.apply("takedown", gone.unionByName(rows(unknown, "delete", "words-2"), allowMissingColumns=True))
+    ledger.apply("takedown", gone)
     ledger.apply("load", load)  # a batch that comes again changes nothing
     return ledger.totals()
 
@@ -63,7 +61,7 @@ SQL_OP2 = f"""WITH counted AS (
   FROM documents
   UNION ALL
   SELECT 'words-2', source, lang, len(regexp_extract_all(coalesce(text, ''), '[\\p{{L}}\\p{{N}}]+'))
-  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))
+  FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.toxic = 1 AND l.doc_id = d.doc_id))
 SELECT tokenizer, source, lang, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
 FROM counted GROUP BY ALL"""
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BATCH_BYTES = 16 << 20
 SLICE_BYTES = 2 << 20
@@ -19,9 +21,19 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def size_in_bytes(setting: str) -> int:
+    """A size as Spark's settings write it: a number with an optional unit (``64m``, ``1g``, ``512kb``)."""
+    number, unit = re.fullmatch(r"\s*(-?[0-9]+)\s*([bkmgtp]?)b?\s*", setting.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit or "b")
+
+
 def bound_batches(spark: SparkSession) -> None:
-    """Let no Arrow batch grow far past ``BATCH_BYTES``, whatever the row count; a smaller setting stays."""
-    if int(spark.conf.get(ARROW_BYTES).rstrip("bB")) > BATCH_BYTES:
+    """Let no Arrow batch of this session grow far past ``BATCH_BYTES``; a smaller setting stays.
+
+    Spark reads the setting when a plan runs, so it can't be given to one plan alone.
+    """
+    bound = size_in_bytes(spark.conf.get(ARROW_BYTES))
+    if not 0 < bound <= BATCH_BYTES:
         spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
 
 
@@ -39,7 +51,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
 
 
 def map_texts(
-    df: DataFrame, column: str, schema: str, job: Callable[[pa.RecordBatch], pa.RecordBatch]
+    df: DataFrame, column: str, schema: str | T.StructType, job: Callable[[pa.RecordBatch], pa.RecordBatch]
 ) -> DataFrame:
     """Apply ``job`` to runs of rows of ``df`` whose texts are bounded in bytes."""
     bound_batches(df.sparkSession)

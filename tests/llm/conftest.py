@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, row string, mark int, kept string"
+#: names that a schema written as text can't hold
+ODD_NAMES = ("my col", "a.b", "x-y")
 
 WORDS = "one two three four five six seven eight nine ten eleven twelve thirteen".split()
 
@@ -23,9 +26,13 @@ def odd_docs(spark):
         (8, " ".join(WORDS * 30), "en", "s5", 1, 1, "x", 1, "k"),
         (None, None, None, None, None, None, None, None, None),
     ]
-    return spark.createDataFrame(rows, SCHEMA)
+    return with_odd_names(spark.createDataFrame(rows, SCHEMA))
+
+
+def with_odd_names(df):
+    return df.select("*", *(F.lit(i).alias(name) for i, name in enumerate(ODD_NAMES)))
 
 
 @pytest.fixture(scope="session")
 def no_docs(spark):
-    return spark.createDataFrame([], SCHEMA)
+    return with_odd_names(spark.createDataFrame([], SCHEMA))
