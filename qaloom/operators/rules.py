@@ -67,17 +67,52 @@ def available_presets(spark: SparkSession, gpu_gb: float | None) -> DataFrame:
     return presets(spark).where(need.isNull() | fits)
 
 
+_TOP = 1 << 61  # sizes and bounds lie within this, either side of zero
+_LEVELS = 62
+
+
+def _bins(lo: Column, hi: Column) -> Column:
+    """A band as the fewest bins ``(level, bin)`` of widths that are powers of two, which cover it exactly."""
+    low = F.greatest(lo.cast("bigint"), F.lit(-_TOP)) + F.lit(_TOP)
+    high = F.least(F.coalesce(hi.cast("bigint"), F.lit(_TOP)), F.lit(_TOP)) + F.lit(_TOP)
+    kind = "array<struct<level:int,bin:bigint>>"
+
+    def bin_at(level: Column, at: Column) -> Column:
+        return F.array(F.struct(level.cast("int").alias("level"), at.alias("bin"))).cast(kind)
+
+    def step(state: Column, level: Column) -> Column:
+        left, right, out = state["left"], state["right"], state["out"]
+        odd = (left < right) & (left % 2 == 1)
+        out = F.when(odd, F.concat(out, bin_at(level, left))).otherwise(out)
+        left = left + odd.cast("bigint")
+        odd = (left < right) & (right % 2 == 1)
+        right = right - odd.cast("bigint")
+        out = F.when(odd, F.concat(out, bin_at(level, right))).otherwise(out)
+        return F.struct(F.shiftright(left, 1).alias("left"), F.shiftright(right, 1).alias("right"), out.alias("out"))
+
+    start = F.struct(low.alias("left"), high.alias("right"), F.array().cast(kind).alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(_LEVELS)), start, step)["out"]
+
+
 def rule_join(df: DataFrame, rules: DataFrame, size: str = "size") -> DataFrame:
-    """The rule of each row's ``class`` whose size band holds the row's size.
+    """The rules of each row's ``class`` whose size band (``lo``, ``hi``; null is open) holds the row's size.
 
-    ``rules`` is a fixed table of a few rows, broadcast for that reason.
+    An interval join for rule tables of any size: a band becomes a few bins of widths that
+    are powers of two, a size the bins that hold it at the widths in use (at most
+    ``_LEVELS``), and both meet in an equi-join by class, width and bin, whose strategy is
+    Spark's choice. The bands of a class thus spread over many keys. A row and a band meet
+    once; rows without a class or size have no rule.
     """
-    r = F.broadcast(rules).alias("r")
-    s = F.col(f"d.{size}")
-    band = (s >= F.col("r.lo")) & (F.col("r.hi").isNull() | (s < F.col("r.hi")))
-    joined = df.alias("d").join(r, (F.col("d.class") == F.col("r.class")) & band)
-    added = [f"r.{c}" for c in rules.columns if c not in ("class", "lo", "hi")]
-    return joined.select("d.*", *added)
+    added = [c for c in rules.columns if c not in ("class", "lo", "hi")]
+    parts = rules.select(F.col("class").alias("_class"), F.explode(_bins(F.col("lo"), F.col("hi"))).alias("_at"), *(F.col(f"`{c}`").alias(f"_r_{c}") for c in added))
+    levels = [r[0] for r in parts.select("_at.level").distinct().collect()]
+    place = F.floor(F.col(f"`{size}`")).cast("bigint") + F.lit(_TOP)
+    held = [F.struct(F.lit(k).alias("level"), F.shiftright(place, k).alias("bin")) for k in sorted(levels)]
+    spread = F.array(*held).cast("array<struct<level:int,bin:bigint>>")
+    asked = df.select("*", F.explode(spread).alias("_bin"))
+    met = (F.col("class") == F.col("_class")) & (F.col("_bin.level") == F.col("_at.level")) & (F.col("_bin.bin") == F.col("_at.bin"))
+    joined = asked.join(parts, met)
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), *(F.col(f"_r_{c}").alias(c) for c in added))
 
 
 def time_estimate(

@@ -81,16 +81,16 @@ def _(spark, sf):
 
 @query(
     "first_samples",
-    f"""WITH {SQL_MIXED}, top AS (SELECT * FROM mixed ORDER BY kind DESC, id, part LIMIT 3)
-    SELECT id, part, left(trim(replace(split_part(text, '{R.A}', 1), '{R.H}', ''), ' ' || chr(10)), 100)
-        || '...' AS question,
-      left({R.sql_strip(f"split_part(text, '{R.A}', 2)")}, 150) || '...' AS answer,
+    f"""WITH {SQL_MIXED}, top AS (SELECT * FROM mixed ORDER BY id, part, kind LIMIT 3)
+    SELECT id, part, kind,
+      CASE WHEN {sql_is_qa('text')} THEN left(trim(replace(split_part(text, '{R.A}', 1), '{R.H}', ''), ' ' || chr(10)), 100)
+        || '...' END AS question,
+      CASE WHEN {sql_is_qa('text')} THEN left({R.sql_strip(f"split_part(text, '{R.A}', 2)")}, 150) || '...' END AS answer,
       CASE WHEN NOT {sql_is_qa('text')} THEN left(text, 200) || '...' END AS raw
     FROM top""",
 )
 def _(spark, sf):
-    qa = R.mixed(spark, sf).where("kind = 'pair'")
-    return reports.first_samples(qa, ["id", "part"])
+    return reports.first_samples(R.mixed(spark, sf), ["id", "part", "kind"])
 
 
 _SQL_EXISTING = sql_flags(

@@ -186,3 +186,28 @@ def test_words_and_positions_stay_where_their_text_is(spark):
         plan = coded._jdf.queryExecution().executedPlan().toString()
         moves = [line for line in plan.splitlines() if "Exchange hash" in line]
         assert moves and all("hashpartitioning(_row" in line and "REPARTITION" in line for line in moves)
+
+
+def test_rules_of_many_bands_meet_without_a_broadcast(spark):
+    # bands of many widths, overlapping and open ones among them
+    bands = spark.range(200_000).selectExpr("'c' || id % 2 AS class", "id * 10 - 500 AS lo", "id * 10 - 500 + 1 + id % 40 AS hi", "id AS option")
+    bands = bands.unionByName(spark.createDataFrame([("c0", 1_000_000, None, -1), ("c1", -(2**40), 3, -2), ("c1", 5, 5, -3)], "class string, lo bigint, hi bigint, option bigint"))
+    sizes = spark.range(3000).selectExpr("'c' || id % 3 AS class", "CASE WHEN id % 100 > 0 THEN id * 701 - 600 END AS size")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        joined = rules.rule_join(sizes, bands)
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r["class"], r["size"], r["option"]) for r in joined.collect())
+    finally:
+        spark.conf.set(key, kept)
+    want = []
+    for i in range(3000):
+        size = i * 701 - 600
+        if i % 100 and i % 3 < 2:
+            near = range(max(0, (size + 500) // 10 - 6), min(200_000, (size + 500) // 10 + 2))
+            want += [(f"c{i % 3}", size, b) for b in near if b % 2 == i % 3 and b * 10 - 500 <= size < b * 10 - 500 + 1 + b % 40]
+            want += [("c0", size, -1)] if i % 3 == 0 and size >= 1_000_000 else []
+            want += [("c1", size, -2)] if i % 3 == 1 and size < 3 else []
+    assert got == sorted(want)
