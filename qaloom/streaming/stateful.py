@@ -16,7 +16,7 @@ processing time, since Spark goes on with empty batches as long as a timer may f
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain, islice
 
 import pandas as pd
@@ -124,12 +124,12 @@ def _run(rows: DataFrame, key: str, processor: _InOrder, out: str) -> DataFrame:
 class RunHealth:
     """The monitor's state for one run."""
 
-    def __init__(self, patience: int, saved: tuple | None, recent: list[float]):
+    def __init__(self, patience: int, saved: tuple | None, recent: Sequence[float] = ()):
         self.patience = patience
         if saved is None:
             saved = (0, 0, None, False, None, 0)
         self.n_seen, self.bad, self.last, self.stopped, self.step, self.late = saved
-        self.recent = recent
+        self.recent = list(recent)
 
     def saved(self) -> tuple:
         return (self.n_seen, self.bad, self.last, self.stopped, self.step, self.late)
