@@ -11,6 +11,7 @@ from qaloom import fixed_values as fv
 from qaloom.functions.checks import valid_sample
 from qaloom.functions.text import as_column, is_qa, qa_text, whole_division, words
 from qaloom.operators.ordered import SPAN, number_rows, with_neighbours
+from qaloom.operators.quantiles import quantiles
 from qaloom.operators.selection import take_first
 from qaloom.session import materialise
 
@@ -188,16 +189,13 @@ def trim_quantiles(
 ) -> DataFrame:
     """Rows whose length lies within both quantiles, ends included.
 
-    Exact, with linear interpolation, from the length histogram; the bounds
-    come back as one scalar, so the table itself is not shuffled.
+    Exact, with linear interpolation, from sketches and counts of the length alone
+    (:func:`qaloom.operators.quantiles.quantiles`), so that a column of distinct doubles
+    costs no more than one of few lengths. Without a length no row is kept.
     """
-    bounds = (
-        length_histogram(df, length)
-        .select(
-            F.percentile(length, [low, high], F.col("n")).alias("q")
-        )
-        .scalar()
-    )
+    bounds = quantiles(materialise(df.select(length)), length, [low, high])
+    if bounds is None:
+        return df.where(F.lit(False))
     return df.where((F.col(length) >= bounds[0]) & (F.col(length) <= bounds[1]))
 
 
