@@ -12,6 +12,7 @@ from qaloom.functions.checks import valid_sample
 from qaloom.functions.text import as_column, is_qa, qa_text, whole_division, words
 from qaloom.operators.ordered import SPAN, number_rows, with_neighbours
 from qaloom.operators.quantiles import quantiles
+from qaloom.operators.reports import attainment_status
 from qaloom.operators.selection import take_first
 from qaloom.session import materialise
 
@@ -152,10 +153,7 @@ def attainment(df: DataFrame, target: int) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_samples")).select(
         "n_samples",
         F.lit(target).cast("bigint").alias("target"),
-        F.when(n < target * 0.8, "below_target")
-        .when(n >= target, "reached")
-        .otherwise("near_target")
-        .alias("status"),
+        attainment_status(n, target).alias("status"),
     )
 
 

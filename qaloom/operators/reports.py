@@ -31,14 +31,31 @@ def quality_report(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     Counts the rows given, so pass the train part. An empty table has no percent.
     """
-    total, good = F.count(F.lit(1)), F.count_if(F.col("ok_format"))
-    return flagged.groupBy(*by).agg(
-        total.alias("total"),
-        good.alias("good"),
-        _percent(good, total).alias("pct"),
-        F.coalesce(F.avg("answer_len"), F.lit(0.0)).alias("avg_len"),
-        F.coalesce(F.sum(F.size("flags")), F.lit(0)).alias("n_flags"),
-    )
+    measures = _report_measures(F.col("ok_format"), F.col("answer_len"), F.size("flags"))
+    return flagged.groupBy(*by).agg(*(c.alias(name) for name, c in measures.items()))
+
+
+def _report_measures(ok: Column, length: Column, n_flags: Column, of: Column | None = None) -> dict[str, Column]:
+    """The report's aggregates, over all rows or those with ``of``."""
+    of = F.lit(True) if of is None else of
+    total, good = F.count_if(of), F.count_if(of & ok)
+    return {
+        "total": total,
+        "good": good,
+        "pct": _percent(good, total),
+        "avg_len": F.coalesce(F.avg(F.when(of, length)), F.lit(0.0)),
+        "n_flags": F.coalesce(F.sum(F.when(of, n_flags)), F.lit(0)),
+    }
+
+
+def written_measures(rules: Rules | None = None, target: int | None = None, text: str = "text") -> dict[str, Column]:
+    """What a dataset's write can measure on its way: the train part's quality report, the
+    sizes of both parts and, with a target, its attainment."""
+    train, ok = F.col("split") == "train", is_qa(text)
+    flags = F.size(quality_flags(text, "report", rules or PROFILES["report"]))
+    measures = _report_measures(ok, F.when(ok, F.length(extract_answer(text))), flags, train)
+    measures |= {"train_size": F.count_if(train), "test_size": F.count_if(F.col("split") == "test")}
+    return measures if target is None else measures | {"status": attainment_status(F.count(F.lit(1)), target)}
 
 
 def verdict(report: DataFrame) -> DataFrame:
@@ -97,6 +114,11 @@ def first_samples(df: DataFrame, order: Sequence[str], n: int = 3, text: str = "
     )
 
 
+def attainment_status(n: Column, target: int) -> Column:
+    """How much of a target the count ``n`` reaches."""
+    return F.when(n < target * 0.8, "below_target").when(n >= target, "reached").otherwise("near_target")
+
+
 def split_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_samples"))
 

@@ -256,6 +256,33 @@ def _(spark, sf):
     return dataset.verify_written(spark, path)
 
 
+# the report, sizes and target of a dataset, measured by its write alone
+@query(
+    "written_quality",
+    f"""WITH {SQL_SPLIT}, m AS (SELECT split, text, {sql_is_qa('text')} AS ok, {R.SQL_REPORT_FLAGS} AS flags,
+        length({R.sql_answer('text')}) AS len FROM split),
+      r AS (SELECT count(*) FILTER (WHERE split = 'train') AS total,
+        count(*) FILTER (WHERE split = 'train' AND ok) AS good,
+        avg(len) FILTER (WHERE split = 'train' AND ok) AS avg_len,
+        {R.big("sum(CASE WHEN ok THEN len(flags) ELSE 0 END) FILTER (WHERE split = 'train')")} AS n_flags,
+        count(*) FILTER (WHERE split = 'train') AS train_size, count(*) FILTER (WHERE split = 'test') AS test_size,
+        CASE WHEN count(*) < 800 THEN 'below_target' WHEN count(*) >= 1000 THEN 'reached' ELSE 'near_target' END AS status
+      FROM m)
+    SELECT total, good, {sql_round('100.0 * good / total')} AS pct, {sql_round('avg_len')} AS avg_len, n_flags,
+      train_size, test_size, status,
+      CASE WHEN 100.0 * good / total >= 95 AND avg_len >= 150 AND n_flags = 0 THEN 'EXCELLENT'
+           WHEN 100.0 * good / total >= 90 AND avg_len >= 100 AND n_flags <= 5 THEN 'GOOD'
+           WHEN 100.0 * good / total >= 80 THEN 'MODERATE' ELSE 'POOR' END AS verdict FROM r""",
+)
+def _(spark, sf):
+    path = work_path(spark, "dataset")
+    dataset.write_dataset(split_pairs(spark, sf), path, measures=reports.written_measures(R.REPORT, 1000))
+    report = reports.verdict(dataset.read_measures(spark, path)).drop("n_rows")
+    for c in ("pct", "avg_len"):
+        report = report.withColumn(c, F.round(F.col(c).cast("double"), 4))
+    return report
+
+
 # --- logs and files ---------------------------------------------------------------------------
 
 

@@ -44,6 +44,50 @@ def test_unreadable_data_is_rebuilt(spark, tmp_path):
     assert texts(dataset.write_dataset(df, str(tmp_path / "data"))) == ["a", "b"]
 
 
+def test_a_write_that_fails_leaves_the_old_version(spark, tmp_path):
+    path = f"{tmp_path}/data"
+    old = split_exact(dataset.from_rows(spark, list("abcde")), ["sample_id"])
+    dataset.write_dataset(old, path)
+    reader = dataset.read_dataset(spark, path)
+    fails = F.when(F.col("sample_id") < 3, F.col("text")).otherwise(F.raise_error(F.lit("broken off")))
+    new = split_exact(dataset.from_rows(spark, list("vwxyz")), ["sample_id"]).withColumn("text", fails)
+    with pytest.raises(Exception, match="broken off"):
+        dataset.write_dataset(new, path, overwrite=True)
+    assert texts(dataset.read_dataset(spark, path)) == texts(dataset.write_dataset(new, path)) == list("abcde")
+    dataset.write_dataset(old.withColumn("text", F.upper("text")), path, overwrite=True)
+    assert texts(dataset.read_dataset(spark, path)) == list("ABCDE")
+    assert texts(reader) == list("abcde")  # a reader of the old version keeps its files
+
+
+def test_a_lost_file_is_noticed(spark, tmp_path):
+    path = tmp_path / "data"
+    df = split_exact(dataset.from_rows(spark, list("abcde")), ["sample_id"])
+    dataset.write_dataset(df, str(path))
+    next((path / "_versions").glob("*/split=test/*.parquet")).unlink()
+    assert texts(dataset.write_dataset(df, str(path))) == list("abcde")
+
+
+def test_a_plain_folder_is_read(spark, tmp_path):
+    path = f"{tmp_path}/data"
+    split_exact(dataset.from_rows(spark, list("abc")), ["sample_id"]).write.partitionBy("split").parquet(path)
+    assert texts(dataset.read_dataset(spark, path)) == texts(dataset.write_dataset(dataset.from_rows(spark, ["z"]), path)) == list("abc")
+
+
+def test_measures_come_from_the_write(spark, tmp_path):
+    rows = [f"{fv.HUMAN}\nq{i}?\n{fv.ASSISTANT}\n" + "a" * i for i in range(100)] + ["plain"]
+    df = split_exact(dataset.from_rows(spark, rows), ["sample_id"])
+    path = f"{tmp_path}/data"
+    written = dataset.write_dataset(df, path, measures=reports.written_measures(target=110))
+    got = reports.verdict(dataset.read_measures(spark, path)).first().asDict()
+    train = written.where("split = 'train'")
+    want = reports.verdict(reports.quality_report(reports.sample_flags(train))).first().asDict()
+    assert {k: got[k] for k in want} == want
+    assert (got["n_rows"], got["train_size"], got["test_size"], got["status"]) == (101, 80, 21, "near_target")
+    assert "FileScan" not in dataset.read_measures(spark, path)._jdf.queryExecution().executedPlan().toString()
+    empty = dataset.write_dataset(df.limit(0), f"{tmp_path}/none", measures=reports.written_measures())
+    assert empty.count() == 0 and dataset.read_measures(spark, f"{tmp_path}/none").first().total == 0
+
+
 def test_only_one_split(spark):
     df = dataset.from_rows(spark, ["a"]).withColumn("split", F.lit("train"))
     assert not reports.check_dataset(df).first().is_valid
