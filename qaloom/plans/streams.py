@@ -10,9 +10,10 @@ from qaloom.functions import checks as C
 from qaloom.functions import text as X
 from qaloom.plans import relations as R
 from qaloom.plans.registry import query
-from qaloom.plans.relations import A, H, SQL_MIXED, q, sql_any, sql_answer, sql_clean_answer, sql_flags, sql_is_qa, sql_strip
+from qaloom.plans.relations import A, H, SQL_MIXED, big, q, sql_any, sql_answer, sql_clean_answer, sql_flags, sql_is_qa, sql_strip, table
 from qaloom.plans.texts import _PROMPT_HEAD, _PROMPT_TAIL, SQL_GATE, _case, sql_technical
 from qaloom.session import work_path
+from qaloom.streaming.known import NewTexts
 from qaloom.streaming.tables import run_to_table, stream_table
 
 MIN_SAMPLE = 200
@@ -98,3 +99,26 @@ def _(spark, sf):
     R.mixed(spark, sf).write.parquet(f"{path}/in")
     rows = stream_table(spark, f"{path}/in")
     return run_to_table(rows.select(*R.MIXED_IDS, *(c.alias(name) for name, c in stateless_columns().items())), path)
+
+
+BATCHES = 3
+
+
+# texts of other sources that src0 does not hold, in three micro-batches of the whole table; which copy comes
+# first is the stream's affair, so that the row says the text and how many rows stand for it
+@query(
+    "new_only_stream",
+    f"""SELECT md5(text) AS text_md5, length(text) AS n_chars, {big('1')} AS n_rows FROM (
+      SELECT DISTINCT text FROM documents WHERE source <> 'src0'
+        AND text NOT IN (SELECT text FROM documents WHERE source = 'src0'))""",
+)
+def _(spark, sf):
+    path = work_path(spark, "new")
+    docs = table(spark, sf, "documents")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs.where("source <> 'src0'").select("doc_id", "text").repartition(parts, "doc_id").write.parquet(f"{path}/in")
+    texts = NewTexts(spark, path, "text", ["doc_id"])
+    texts.seed(docs.where("source = 'src0'"))
+    new = texts.run(stream_table(spark, f"{path}/in", per_trigger=-(-parts // BATCHES)))
+    n_chars = F.first(F.length("text").cast("bigint")).alias("n_chars")
+    return new.groupBy(F.md5("text").alias("text_md5")).agg(n_chars, F.count(F.lit(1)).alias("n_rows"))

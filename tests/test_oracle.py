@@ -11,7 +11,7 @@ from qaloom.plans.registry import ORACLE, QUERIES
 # queries that call a Python function: a caller's generator or a per-key state
 PYTHON = {"generate", "generate_with_retry"}
 # these write a table first, so their plan is the reading of it
-EAGER = {"health_stream", "chat_stream", "clean_stream", "stateless_stream"}
+EAGER = {"health_stream", "chat_stream", "clean_stream", "stateless_stream", "new_only_stream"}
 
 
 @pytest.fixture(scope="module")

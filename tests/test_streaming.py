@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qaloom.operators import chat, curate, monitor
+from qaloom.streaming.known import NewTexts
 from qaloom.streaming import stateful
 from qaloom.streaming.tables import run_to_table, stream_table, write_slices
 from test_monitor import SCHEMA, runs
@@ -115,3 +116,75 @@ def test_render_chat_is_one_row(spark):
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     got = {r.conv_id: r.rendered for r in chat.render_chat(df, "|").collect()}
     assert got == {1: "".join(f"t{t}|" for t in range(25_000)), 2: "|"}
+
+
+def _new_texts(spark, path):
+    texts = NewTexts(spark, path, "text", ["id"])
+    texts.seed(spark.createDataFrame([(1, "old")], "id long, text string"))
+    return texts
+
+
+def _batch(spark, *rows):
+    return spark.createDataFrame(list(rows), "id long, text string")
+
+
+def test_new_texts_over_batches_and_replays(spark, tmp_path):
+    texts = _new_texts(spark, str(tmp_path))
+    batches = [
+        _batch(spark, (3, "a"), (2, "a"), (1, "old"), (4, None)),
+        _batch(spark, (5, "a"), (6, "b"), (7, "b")),
+        _batch(spark, (8, "old"), (9, "c"), (10, "b")),
+    ]
+    for number, batch in enumerate(batches):
+        texts.add(batch, number)
+    want = [(2, "a", 0), (6, "b", 1), (9, "c", 2)]
+    assert sorted(map(tuple, texts.rows(batches[0]).collect())) == want
+    texts.add(_batch(spark, (11, "d")), 1)  # a committed batch comes again
+    assert sorted(map(tuple, texts.rows(batches[0]).collect())) == want
+
+
+def test_new_texts_after_a_broken_batch(spark, tmp_path, monkeypatch):
+    texts = _new_texts(spark, str(tmp_path))
+    texts.add(_batch(spark, (1, "a")), 0)
+    monkeypatch.setattr(texts, "_commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        texts.add(_batch(spark, (2, "a"), (3, "b")), 1)
+    monkeypatch.undo()
+    like = _batch(spark, (0, ""))
+    assert [tuple(r) for r in texts.rows(like).collect()] == [(1, "a", 0)]
+    texts.add(_batch(spark, (2, "a"), (3, "b")), 1)
+    assert sorted(map(tuple, texts.rows(like).collect())) == [(1, "a", 0), (3, "b", 1)]
+
+
+def test_new_texts_without_any(spark, tmp_path):
+    like = _batch(spark, (0, ""))
+    texts = NewTexts(spark, str(tmp_path), "text", ["id"])
+    assert texts.rows(like).count() == 0
+    texts.add(like.limit(0), 0)
+    texts.add(_batch(spark, (1, "a")), 1)
+    assert [tuple(r) for r in texts.rows(like).collect()] == [(1, "a", 1)]
+
+
+def test_known_digests_meet_a_bloom_filter(spark, tmp_path):
+    settings = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    plans = []
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        texts = _new_texts(spark, str(tmp_path))
+        write = texts._write
+        texts._write = lambda df, name, batch: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), write(df, name, batch))
+        texts.add(_batch(spark, (1, "old"), (2, "new")), 0)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "might_contain" in dict(plans)["rows"]
+    assert texts.rows(_batch(spark, (0, ""))).first().text == "new"
+
+
+def test_new_texts_carry_any_columns(spark, tmp_path):
+    batch = spark.createDataFrame([(1, "a", ("x",))], "id long, text string, `odd name` struct<`a.b`: string>")
+    texts = NewTexts(spark, str(tmp_path), "text", ["id"])
+    texts.add(batch, 0)
+    assert texts.rows(batch).first()["odd name"]["a.b"] == "x"
