@@ -223,6 +223,36 @@ def test_encoding_goes_row_by_row(spark):
     assert tuple(encode.check_round_trip(df.dropna(subset=["text"]), vocab).first()) == (34, 34, 68)
 
 
+def test_a_text_goes_with_one_of_its_words(spark):
+    df = spark.createDataFrame([(1, "a b a " * 500), (2, None), (3, "")], "id int, text string")
+    dealt = encode._dealt(df, ["id", "text"], F.col("text"))
+    kept = encode._places(dealt, encode.tokens("_given"), "token").where("_keep IS NOT NULL").select("_keep.id").collect()
+    assert sorted(r.id for r in kept) == [1, 2, 3]
+
+
+def test_round_trip_of_words_is_that_of_whole_texts(spark):
+    end = fv.END_TOKEN
+    texts = ["a b a", f"a{end}b", "a  lost", "", " ", None, "two one", "lost a lost", f"{end}{end}", "b a", "<unk>", "twice a"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = [("a", 1), ("b", 2), ("one", 3), ("two", 3), ("twice", 5), ("closing", fv.END_TOKEN_ID), (None, 9)]
+    vocab = spark.createDataFrame(words, "token string, token_id long")
+    whole = df.select("text", F.array_join(F.filter(encode.tokens("text"), lambda w: w != end), " ").alias("asked"))
+    back = encode.decode(encode.token_ids(whole, vocab, ["asked"]), vocab, ["asked"], "token_ids").collect()
+    assert tuple(encode.check_round_trip(df, vocab).first()) == (len(texts), sum(r.decoded == r.asked for r in back), len(words))
+
+
+def test_round_trip_of_a_long_text_moves_its_words_once(spark):
+    # as many copies of the text as it has words would be 20 GB
+    df = spark.createDataFrame([(" ".join(f"word{i:08}" for i in range(40_000)),)], "text string")
+    vocab = encode.learn_vocab(df, None)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        assert tuple(encode.check_round_trip(df, vocab).first()) == (1, 1, 40_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_words_and_positions_stay_where_their_text_is(spark):
     df = spark.createDataFrame([(1, "a b a")], "id int, text string")
     vocab = encode.learn_vocab(df, None)
