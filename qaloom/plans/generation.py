@@ -18,7 +18,7 @@ from qaloom.plans.texts import SQL_GATE, sql_technical
 from qaloom.session import work_path
 from qaloom.sources.pages import page_scan
 from qaloom.streaming import stateful
-from qaloom.streaming.tables import run_to_table, stream_table
+from qaloom.streaming.tables import run_to_table, stream_of, stream_table
 
 
 def extract(prompt: str) -> str:
@@ -222,7 +222,7 @@ def _(spark, sf):
       )}, '|') AS flags FROM documents""",
 )
 def _(spark, sf):
-    docs = stream_table(spark, sf, "documents.parquet").select(
+    docs = stream_of(spark, f"{sf}/documents.parquet").select(
         "doc_id",
         clean_technical("text").alias("cleaned"),
         F.array_join(quality_flags("text", "inspect", R.INSPECT), "|").alias("flags"),

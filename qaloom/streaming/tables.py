@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,18 @@ def stream_table(
     return reader.parquet(folder)
 
 
+def stream_of(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
+    """The Parquet table at ``path`` as a stream, be it one file or a folder of files.
+
+    A stream reads folders only, so a single file is that of its name in the folder around it.
+    """
+    *_, folder, name = path = path.rstrip("/").split("/")
+    files = spark.read.parquet("/".join(path)).inputFiles()
+    if len(files) == 1 and unquote(files[0]).endswith(f"{folder}/{name}"):
+        return stream_table(spark, "/".join(path[:-1]), name, per_trigger)
+    return stream_table(spark, "/".join(path), "*", per_trigger)
+
+
 def run_to_table(df: DataFrame, path: str) -> DataFrame:
     """Run a stream over what is there now, write it as Parquet, read it back.
 

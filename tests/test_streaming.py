@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from qaloom.operators import chat, curate, monitor
 from qaloom.streaming.known import NewTexts
 from qaloom.streaming import stateful
-from qaloom.streaming.tables import run_to_table, stream_table, write_slices
+from qaloom.streaming.tables import run_to_table, stream_of, stream_table, write_slices
+from qaloom.plans import generation  # noqa: F401
+from qaloom.plans.registry import QUERIES
 from test_monitor import SCHEMA, runs
 
 
@@ -75,6 +77,24 @@ def test_a_timer_drops_the_state_of_an_idle_key(spark, tmp_path):
     assert got == {(1, 5): "ok", (2, 5): "ok", (2, 6): "ok", (2, 7): "ok", (1, 3): "ok", (2, 4): "late"}
 
 
+def test_a_table_of_one_or_many_files_is_a_stream(spark, tmp_path):
+    folder = f"{tmp_path}/many/documents.parquet"
+    spark.range(50).repartition(5).write.parquet(folder)
+    (file,) = (tmp_path / "many/documents.parquet").glob("part-00000*")
+    (tmp_path / "one").mkdir()
+    for name in ("documents.parquet", "documents.parquet.old"):
+        (tmp_path / "one" / name).write_bytes(file.read_bytes())
+    one = spark.read.parquet(str(file)).count()
+    for path, rows in ((folder, 50), (f"{tmp_path}/one/documents.parquet", one), (f"file://{folder}/", 50)):
+        assert run_to_table(stream_of(spark, path), f"{tmp_path}/out{len(path)}").count() == rows
+
+
+def test_clean_stream_reads_a_folder_of_files(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got, want = (QUERIES["clean_stream"](spark, d) for d in (str(tmp_path), sf_dir))
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
 def test_late_events(spark, tmp_path):
     df = spark.createDataFrame([(1, 5, 1.0, None), (1, 9, 1.0, None)], SCHEMA)
     late = spark.createDataFrame([(1, 7, math.nan, None), (1, 10, 2.0, 120.0)], SCHEMA)
