@@ -126,39 +126,58 @@ def clean_technical(col: Column | str, fix_sizes: bool = False) -> Column:
     return strip(rewrite(rewrite(c, *spaces), *sentences))
 
 
-def clean_answer(col: Column | str) -> Column:
-    """Answer cleaner for batch evaluation: drop markup, end on a sentence."""
+def without_markup(col: Column | str) -> Column:
+    """First step of :func:`clean_answer`: no markup, single spaces."""
     c = strip(F.replace(strip(col), F.lit(fv.HUMAN), F.lit("")))
-    for junk in fv.ANSWER_DELETIONS:
-        c = F.replace(c, F.lit(junk), F.lit(""))
-    for junk in fv.ANSWER_ARTIFACTS:
-        c = F.replace(c, F.lit(junk), F.lit(" "))
-    c = collapse_spaces(c)
+    plain = reduce(lambda text, junk: F.replace(text, F.lit(junk), F.lit("")), fv.ANSWER_DELETIONS, c)
+    plain = reduce(lambda text, junk: F.replace(text, F.lit(junk), F.lit(" ")), fv.ANSWER_ARTIFACTS, plain)
+    # a text without any of them, as most are, is only looked through
+    junk = dict.fromkeys((*fv.ANSWER_DELETIONS, *fv.ANSWER_ARTIFACTS))
+    return collapse_spaces(F.when(contains_any(c, list(junk)), plain).otherwise(c))
+
+
+def ended(col: Column | str) -> Column:
+    """Second step of :func:`clean_answer`: end on a sentence. It reads its column several times."""
+    c = as_column(col)
     last_dot = F.length(c) - F.length(F.substring_index(c, ".", -1)) - 1
-    ended = reduce(lambda a, b: a | b, (c.endswith(e) for e in fv.SENTENCE_ENDS))
+    is_ended = reduce(lambda a, b: a | b, (c.endswith(e) for e in fv.SENTENCE_ENDS))
     return (
-        F.when((c == "") | ended, c)
+        F.when((c == "") | is_ended, c)
         .when(last_dot > F.length(c) * F.lit(0.7), F.substring(c, F.lit(1), last_dot + 1))
         .otherwise(F.concat(c, F.lit(".")))
     )
 
 
-def clean_chat(col: Column | str) -> Column:
-    """Answer cleaner for chats: the first two sentences of a sensible length."""
-    answer = strip(col)
-    body = strip(F.replace(answer, F.lit(fv.HUMAN), F.lit("")))
+def clean_answer(col: Column | str) -> Column:
+    """Answer cleaner for batch evaluation: drop markup, end on a sentence."""
+    return ended(without_markup(col))
+
+
+def chat_sentences(col: Column | str) -> Column:
+    """First step of :func:`clean_chat`: the sentences of a sensible length."""
+    body = strip(F.replace(strip(col), F.lit(fv.HUMAN), F.lit("")))
     pieces = F.transform(F.split(body, r"\.", -1), strip)
-    kept = F.filter(
+    return F.filter(
         pieces,
         lambda p: (F.length(p) > 15) & (F.length(p) < 200) & ~p.startswith("###"),
     )
+
+
+def chat_of(col: Column | str, sentences: Column | str) -> Column:
+    """Second step of :func:`clean_chat`: two sentences of those found in a text. It reads them several times."""
+    kept = as_column(sentences)
     return (
-        F.when(F.coalesce(answer, F.lit("")) == "", F.lit(fv.CHAT_EMPTY))
+        F.when(F.coalesce(strip(col), F.lit("")) == "", F.lit(fv.CHAT_EMPTY))
         .when(F.size(kept) == 0, F.lit(fv.CHAT_NOTHING_KEPT))
         .otherwise(F.concat(F.array_join(F.slice(kept, 1, 2), ". "), F.lit(".")))
     )
 
 
+def clean_chat(col: Column | str) -> Column:
+    """Answer cleaner for chats: the first two sentences of a sensible length."""
+    return chat_of(col, chat_sentences(col))
+
+
 def answer_ok(col: Column | str) -> Column:
     """Long enough, several words, and not an error message."""
     c = as_column(col)

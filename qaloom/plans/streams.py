@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaloom import fixed_values as fv
@@ -19,11 +21,20 @@ from qaloom.streaming.tables import run_to_table, stream_table
 MIN_SAMPLE = 200
 
 
-def stateless_columns(text: str = "text") -> dict[str, Column]:
-    """One column per predicate and text function, over a text alone."""
-    answer = X.extract_answer(text)
-    clean = X.clean_answer(answer)
-    gate = C.quality_flags(text, "gate", R.GATE)
+def stateless(rows: DataFrame, ids: Sequence[str], text: str = "text") -> DataFrame:
+    """``ids`` and one column per predicate and text function, over a text alone.
+
+    What several columns are made of, or one reads several times, is a column of a step before, so that Spark works it out once.
+    """
+    answer, gate = X.extract_answer(text).alias("answer"), C.quality_flags(text, "gate", R.GATE).alias("_gate")
+    rows = rows.select(*ids, text, answer, gate)
+    rows = rows.select("*", X.without_markup("answer").alias("_plain"), X.chat_sentences("answer").alias("_sentences"))
+    rows = rows.select("*", X.ended("_plain").alias("clean"))
+    return rows.select(*ids, *(c.alias(name) for name, c in _stateless_columns(text).items()))
+
+
+def _stateless_columns(text: str) -> dict[str, Column]:
+    gate = F.col("_gate")
     flags = {name: C.quality_flags(text, name, rules) for name, rules in (("existing", R.EXISTING), ("report", R.REPORT), ("inspect", R.INSPECT))}
     parsed = X.parse_qa(text)
     return {
@@ -32,13 +43,13 @@ def stateless_columns(text: str = "text") -> dict[str, Column]:
         "is_valid": C.valid_sample(text, MIN_SAMPLE),
         "gate": F.array_join(gate, "|"),
         **{name: F.array_join(found, "|") for name, found in flags.items()},
-        "ok_answer": X.answer_ok(clean),
+        "ok_answer": X.answer_ok("clean"),
         "question": parsed["question"],
         "second_part": parsed["answer"],
-        "answer": answer,
+        "answer": F.col("answer"),
         "technical": X.clean_technical(text),
-        "clean": clean,
-        "chat": X.clean_chat(answer),
+        "clean": F.col("clean"),
+        "chat": X.chat_of("answer", "_sentences"),
         "p60": X.preview(text, 60, always=True),
         "prompt_md5": F.md5(X.build_prompt(text)),
         "retry": F.when(F.size(gate) > 0, X.retry_prompt(X.preview(text, 60), gate)),
@@ -98,7 +109,7 @@ def _(spark, sf):
     path = work_path(spark, "stateless")
     R.mixed(spark, sf).write.parquet(f"{path}/in")
     rows = stream_table(spark, f"{path}/in")
-    return run_to_table(rows.select(*R.MIXED_IDS, *(c.alias(name) for name, c in stateless_columns().items())), path)
+    return run_to_table(stateless(rows, R.MIXED_IDS), path)
 
 
 BATCHES = 3

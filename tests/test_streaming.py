@@ -8,11 +8,14 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from qaloom.fixed_values import ASSISTANT as A
+from qaloom.fixed_values import HUMAN as H
+from qaloom.functions import text as X
 from qaloom.operators import chat, curate, monitor
 from qaloom.streaming.known import NewTexts
 from qaloom.streaming import stateful
 from qaloom.streaming.tables import run_to_table, stream_of, stream_table, write_slices
-from qaloom.plans import generation  # noqa: F401
+from qaloom.plans import generation, streams  # noqa: F401
 from qaloom.plans.registry import QUERIES
 from test_monitor import SCHEMA, runs
 
@@ -89,6 +92,17 @@ def test_a_table_of_one_or_many_files_is_a_stream(spark, tmp_path):
         assert run_to_table(stream_of(spark, path), f"{tmp_path}/out{len(path)}").count() == rows
 
 
+def test_shared_steps_are_worked_out_once(spark):
+    texts = ["", " ", None, "a. b", "x" * 30 + ". " + "y" * 30 + ".z", "-**--", f"{H}q{A} (a) ** b\n\nc ### d. e", "`" * 7 + " a\tb"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = streams.stateless(rows, ["id"])
+    answer = X.extract_answer("text")
+    alone = rows.select("id", X.clean_answer(answer), X.answer_ok(X.clean_answer(answer)), X.clean_chat(answer))
+    assert sorted(map(tuple, got.select("id", "clean", "ok_answer", "chat").collect())) == sorted(map(tuple, alone.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 9 and plan.count("split(") <= 1  # nine in clean_technical and clean_answer
+
+
 def test_clean_stream_reads_a_folder_of_files(spark, sf_dir, tmp_path):
     spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     got, want = (QUERIES["clean_stream"](spark, d) for d in (str(tmp_path), sf_dir))
