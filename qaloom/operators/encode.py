@@ -19,6 +19,7 @@ from qaloom.functions.text import as_column, words
 from qaloom.operators.ordered import number_all
 from qaloom.session import materialise
 
+PARTS = 4
 _KEYS = ("input_ids", "attention_mask", "labels")
 
 
@@ -57,9 +58,14 @@ def _padded(ids: Column, max_length: int, pad_id: int, multiple: int = 1) -> lis
 
 
 def _dealt(df: DataFrame, keep: Sequence[str], payload: Column) -> DataFrame:
-    """``_keep`` (the columns ``keep`` as one value) and ``_given`` of every row, dealt out by ``_row``."""
+    """``_keep`` (the columns ``keep`` as one value) and ``_given`` of every row, dealt out by ``_row``.
+
+    A task sorts its places, over ten times its texts' size, in memory, so partitions are a ``PARTS``-th of a shuffle's, and
+    given by number, which Spark doesn't put together again.
+    """
+    parts = PARTS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept = F.struct(F.lit(True).alias("_"), *(F.col(f"`{c}`") for c in keep)).alias("_keep")
-    return df.select(kept, payload.alias("_given")).withColumn("_row", F.monotonically_increasing_id()).repartition("_row")
+    return df.select(kept, payload.alias("_given")).withColumn("_row", F.monotonically_increasing_id()).repartition(parts, "_row")
 
 
 def _places(dealt: DataFrame, values: Column, out: str) -> DataFrame:

@@ -253,6 +253,13 @@ def test_round_trip_of_a_long_text_moves_its_words_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_texts_are_dealt_out_in_small_parts(spark):
+    df = spark.createDataFrame([(1, "a b a")], "id int, text string")
+    parts = encode.PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = encode.token_ids(df, encode.learn_vocab(df, None), ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert f", {parts}), REPARTITION_BY_NUM" in plan
+
+
 def test_words_and_positions_stay_where_their_text_is(spark):
     df = spark.createDataFrame([(1, "a b a")], "id int, text string")
     vocab = encode.learn_vocab(df, None)
